@@ -112,8 +112,8 @@ def validate_contract(documents: DataFrame) -> DataFrame:
 
     The column may hold the list itself or a suite document with an ``expectations`` list.
     """
-    suite = F.get_json_object("json", "$.expectations")
-    rules = F.from_json(F.coalesce(suite, F.col("json")), T.ArrayType(RULE))
+    listed = F.coalesce(F.get_json_object("json", "$.expectations"), F.col("json"))
+    rules = F.when(F.ltrim(listed).startswith("["), F.from_json(listed, T.ArrayType(RULE)))
     broken = F.filter(rules, lambda r: r["expectation_type"].isNull() | r["kwargs"].isNull())
     return documents.select(
         *[c for c in documents.columns if c != "json"],

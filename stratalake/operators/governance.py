@@ -18,7 +18,7 @@ UNSAFE_KEYWORDS = [
 ]
 MODEL_PREFIXES = ["fct_", "dim_", "stg_", "mart_"]
 MODEL_SCHEMAS = ["gold", "staging"]
-MAX_NAMES = 100_000
+MAX_NAMES = 10_000
 RUN_TABLES = ("fct_orders", "dim_customers")
 
 
@@ -48,14 +48,18 @@ def _mentions(queries: DataFrame, names: DataFrame, whole_word: bool) -> DataFra
         words = queries.select("event_time", F.explode(F.array_distinct(F.split(text, "[^a-z0-9_]+"))).alias("name"))
         hits = words.join(names, "name", "left_semi")
     elif _fits(names):
-        listed = names.agg(F.collect_list("name")).scalar()
-        found = F.filter(listed, lambda n: F.contains(text, n))
-        hits = queries.select("event_time", F.explode(found).alias("name"))
+        listed = queries.select("event_time", text.alias("text"), names.agg(F.collect_list("name")).scalar().alias("names"))
+        hits = listed.select("event_time", F.explode(_contained("text", "names")).alias("name"))
     else:
         hits = _mentions_by_pieces(queries, names)
     return hits.groupBy("name").agg(F.count("*").alias("hits"), F.max("event_time").alias("last_queried_at"))
 
 
+def _contained(text: str, names: str) -> Column:
+    """The entries of a list column that occur in a text column."""
+    return F.filter(F.col(names), lambda n: F.contains(F.col(text), n))
+
+
 def _fits(names: DataFrame) -> bool:
     return names.limit(MAX_NAMES + 1).count() <= MAX_NAMES
 
@@ -69,9 +73,7 @@ def _mentions_by_pieces(queries: DataFrame, names: DataFrame, size: int = 3) ->
     keyed = names.withColumn("piece", F.left("name", F.lit(size)))
     long_names = cut.join(keyed.filter(F.length("name") >= size), "piece").filter(F.contains("text", "name"))
     short = keyed.filter(F.length("name") < size).agg(F.collect_set("name")).scalar()
-    short_hits = numbered.select(
-        "event_time", F.explode(F.filter(short, lambda n: F.contains(F.col("text"), n))).alias("name")
-    )
+    short_hits = numbered.withColumn("names", short).select("event_time", F.explode(_contained("text", "names")).alias("name"))
     return long_names.select("event_time", "name").unionByName(short_hits)
 
 

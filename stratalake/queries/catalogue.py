@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from stratalake.queries import models  # noqa: F401
+from stratalake.queries import checks, models  # noqa: F401
 from stratalake.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

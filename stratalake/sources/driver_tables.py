@@ -37,11 +37,35 @@ LOG_PHRASES = [
 QUESTION_WORDS = ["data contract", "dag failed", "null rate of a column", "revenue trend", "slow query", "schema drift", "hello there"]
 
 
+# Column types of the given tables, so that no file footer is read to plan a query.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def pick(values: list, index: Column) -> Column:
     """Entry ``index`` (0-based) of a short fixed list."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def sql_array(values: list) -> str:
+    """The same list as SQL text."""
+    return "array(" + ", ".join(repr(v) for v in values) + ")"
+
+
 def at(day: str, *, days: Column | None = None, hours: Column | None = None, minutes: Column | None = None) -> Column:
     """A fixed moment moved by integer columns."""
     zero = F.lit(0)
@@ -57,118 +81,97 @@ class DriverTables:
         self.dir = str(sf_dir).rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
 
     # ---- store -------------------------------------------------------------------------------
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        joined = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        created = at("1995-01-01", days=key % 2000)
-        return joined.select(
-            key.alias("customer_id"),
-            F.concat(F.lit(" "), F.split_part("c_name", F.lit("#"), F.lit(1))).alias("first_name"),
-            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-            F.concat(F.lit(" "), "c_name", F.lit("@Example.com ")).alias("email"),
-            F.when(key % 7 == 0, "").otherwise(F.concat(F.lit("+1-555-"), key.cast("string"))).alias("phone"),
-            F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "b2b")
-            .when(F.col("c_mktsegment") == "AUTOMOBILE", "VIP")
-            .when(F.col("c_mktsegment") == "HOUSEHOLD", "B2C")
-            .otherwise("retail")
-            .alias("segment"),
-            F.lower("n_name").alias("country"),
-            F.when(key % 5 == 0, "").otherwise(F.concat(F.lit("City "), (key % 50).cast("string"))).alias("city"),
-            created.alias("created_at"),
-            (created + F.make_dt_interval((key % 365).cast("int"))).alias("updated_at"),
-            F.when(key % 97 == 5, "2001-01-01").when(key % 2 == 0, "").alias("_ab_cdc_deleted_at"),
-            at("2001-07-30 06:00:00", hours=key % 24).alias("_airbyte_extracted_at"),
+        return self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+            "c_custkey AS customer_id",
+            "' ' || split_part(c_name, '#', 1) AS first_name",
+            "split_part(c_name, '#', 2) AS last_name",
+            "' ' || c_name || '@Example.com ' AS email",
+            "if(c_custkey % 7 = 0, '', '+1-555-' || c_custkey) AS phone",
+            "CASE c_mktsegment WHEN 'BUILDING' THEN 'b2b' WHEN 'MACHINERY' THEN 'b2b' WHEN 'AUTOMOBILE' THEN 'VIP' "
+            "WHEN 'HOUSEHOLD' THEN 'B2C' ELSE 'retail' END AS segment",
+            "lower(n_name) AS country",
+            "if(c_custkey % 5 = 0, '', 'City ' || c_custkey % 50) AS city",
+            "timestamp'1995-01-01' + make_dt_interval(int(c_custkey % 2000)) AS created_at",
+            "timestamp'1995-01-01' + make_dt_interval(int(c_custkey % 2000 + c_custkey % 365)) AS updated_at",
+            "CASE WHEN c_custkey % 97 = 5 THEN '2001-01-01' WHEN c_custkey % 2 = 0 THEN '' END AS _ab_cdc_deleted_at",
+            "timestamp'2001-07-30 06:00:00' + make_dt_interval(0, int(c_custkey % 24)) AS _airbyte_extracted_at",
         )
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        key = F.col("o_orderkey")
         lines = self.table("lineitem").groupBy("l_orderkey").agg(
             F.min("l_partkey").alias("product_id"), F.count("*").cast("int").alias("quantity")
         )
-        ordered = F.col("o_orderdate").cast("timestamp")
-        return self.table("orders").join(lines, F.col("l_orderkey") == key, "left").select(
-            key.alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
+        return self.table("orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
             "product_id",
-            F.col("o_totalprice").alias("amount"),
+            "o_totalprice AS amount",
             "quantity",
-            F.when(key % 50 == 3, "refunded")
-            .when(F.col("o_orderstatus") == "F", "COMPLETED")
-            .when(F.col("o_orderstatus") == "O", "pending")
-            .otherwise("Cancelled")
-            .alias("status"),
-            ordered.alias("order_date"),
-            (ordered + F.make_dt_interval(F.lit(0), (key % 48).cast("int"))).alias("updated_at"),
-            F.when(key % 89 == 4, "2001-01-01").alias("_ab_cdc_deleted_at"),
-            at("2001-07-30 06:00:00", hours=key % 24).alias("_airbyte_extracted_at"),
+            "CASE WHEN o_orderkey % 50 = 3 THEN 'refunded' WHEN o_orderstatus = 'F' THEN 'COMPLETED' "
+            "WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'Cancelled' END AS status",
+            "timestamp(o_orderdate) AS order_date",
+            "timestamp(o_orderdate) + make_dt_interval(0, int(o_orderkey % 48)) AS updated_at",
+            "if(o_orderkey % 89 = 4, '2001-01-01', NULL) AS _ab_cdc_deleted_at",
+            "timestamp'2001-07-30 06:00:00' + make_dt_interval(0, int(o_orderkey % 24)) AS _airbyte_extracted_at",
         )
 
     @cached_property
     def raw_products(self) -> DataFrame:
-        key = F.col("p_partkey")
-        created = at("1995-01-01", days=key % 300)
-        return self.table("part").select(
-            key.alias("product_id"),
-            F.concat(F.lit(" "), "p_name").alias("name"),
-            F.concat(F.lower("p_type"), F.lit("-line")).alias("category"),
-            F.round(F.col("p_retailprice") * F.col("p_size") / 50, 2).alias("price"),
-            (key % 100 - 2).alias("stock_qty"),
-            F.concat(F.lit(" "), F.lower("p_brand"), F.lit("-"), key.cast("string")).alias("sku"),
-            created.alias("created_at"),
-            (created + F.make_dt_interval((key % 1000).cast("int"))).alias("updated_at"),
-            F.when(key % 101 == 7, "2001-01-01").alias("_ab_cdc_deleted_at"),
-            at("2001-07-30 06:00:00", hours=key % 24).alias("_airbyte_extracted_at"),
+        return self.table("part").selectExpr(
+            "p_partkey AS product_id",
+            "' ' || p_name AS name",
+            "lower(p_type) || '-line' AS category",
+            "round(p_retailprice * p_size / 50, 2) AS price",
+            "p_partkey % 100 - 2 AS stock_qty",
+            "' ' || lower(p_brand) || '-' || p_partkey AS sku",
+            "timestamp'1995-01-01' + make_dt_interval(int(p_partkey % 300)) AS created_at",
+            "timestamp'1995-01-01' + make_dt_interval(int(p_partkey % 300 + p_partkey % 1000)) AS updated_at",
+            "if(p_partkey % 101 = 7, '2001-01-01', NULL) AS _ab_cdc_deleted_at",
+            "timestamp'2001-07-30 06:00:00' + make_dt_interval(0, int(p_partkey % 24)) AS _airbyte_extracted_at",
         )
 
     @cached_property
     def raw_vendors(self) -> DataFrame:
-        key = F.col("s_suppkey")
         joined = self.table("supplier").join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        created = F.date_format(at("1995-01-01", days=key % 1000), "yyyy-MM-dd'T'HH:mm:ss")
-        return joined.select(
-            F.concat(F.lit("V"), key.cast("string")).alias("vendor_id"),
-            F.concat(F.col("s_name"), F.lit(" ")).alias("name"),
-            F.concat(F.lit(" Contact "), key.cast("string")).alias("contact_name"),
-            F.concat(F.lit("Vendor"), key.cast("string"), F.lit("@Example.com")).alias("email"),
-            F.when(key % 6 == 0, "").otherwise(F.concat(F.lit("+49-"), key.cast("string"))).alias("phone"),
-            F.lower("n_name").alias("country"),
-            F.when(key % 4 == 0, "").otherwise(F.concat(F.lit("Town "), (key % 30).cast("string"))).alias("city"),
-            pick(VENDOR_CATEGORIES, key % 6).alias("category"),
-            pick(PAYMENT_TERMS, key % 4).alias("payment_terms"),
-            (key % 10 != 0).alias("is_active"),
-            created.alias("created_at"),
-            F.when(key % 9 == 0, "not a date").otherwise(created).alias("updated_at"),
+        created = "date_format(timestamp'1995-01-01' + make_dt_interval(int(s_suppkey % 1000)), \"yyyy-MM-dd'T'HH:mm:ss\")"
+        return joined.select("*", pick(VENDOR_CATEGORIES, F.col("s_suppkey") % 6).alias("category")).selectExpr(
+            "'V' || s_suppkey AS vendor_id",
+            "s_name || ' ' AS name",
+            "' Contact ' || s_suppkey AS contact_name",
+            "'Vendor' || s_suppkey || '@Example.com' AS email",
+            "if(s_suppkey % 6 = 0, '', '+49-' || s_suppkey) AS phone",
+            "lower(n_name) AS country",
+            "if(s_suppkey % 4 = 0, '', 'Town ' || s_suppkey % 30) AS city",
+            "category",
+            f"element_at({sql_array(PAYMENT_TERMS)}, int(s_suppkey % 4 + 1)) AS payment_terms",
+            "s_suppkey % 10 <> 0 AS is_active",
+            f"{created} AS created_at",
+            f"if(s_suppkey % 9 = 0, 'not a date', {created}) AS updated_at",
         )
 
     @cached_property
     def raw_purchase_orders(self) -> DataFrame:
-        line, part = F.col("l_linenumber"), F.col("l_partkey")
-        shipped = F.col("l_shipdate").cast("timestamp")
-        iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-        return self.table("lineitem").select(
-            F.concat_ws(
-                "-", F.col("l_orderkey"), line, part, F.col("l_suppkey"), F.date_format(shipped, "yyyyMMdd")
-            ).alias("po_id"),
-            F.concat(F.lit("V"), F.col("l_suppkey").cast("string")).alias("vendor_id"),
-            F.col("l_extendedprice").alias("amount"),
-            pick(CURRENCIES, line % 4).alias("currency"),
-            F.when(F.col("l_returnflag") == "R", "received")
-            .when(F.col("l_returnflag") == "A", "approved")
-            .otherwise("Backlog")
-            .alias("status"),
-            F.col("l_quantity").cast("int").alias("line_items"),
-            F.concat(F.lit(" PO line "), line.cast("string")).alias("description"),
-            F.concat(F.lit("buyer_"), (part % 20).cast("string")).alias("requested_by"),
-            iso(shipped).alias("po_date"),
-            iso(shipped + F.make_dt_interval(((part + 13 * line) % 60).cast("int"))).alias("delivery_date"),
-            iso(shipped).alias("created_at"),
-            iso(shipped + F.make_dt_interval(F.lit(0), line)).alias("updated_at"),
+        iso = "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss\")"
+        return self.table("lineitem").withColumn("shipped", F.col("l_shipdate").cast("timestamp")).selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(shipped, 'yyyyMMdd')) AS po_id",
+            "'V' || l_suppkey AS vendor_id",
+            "l_extendedprice AS amount",
+            f"element_at({sql_array(CURRENCIES)}, int(l_linenumber % 4 + 1)) AS currency",
+            "CASE l_returnflag WHEN 'R' THEN 'received' WHEN 'A' THEN 'approved' ELSE 'Backlog' END AS status",
+            "int(l_quantity) AS line_items",
+            "' PO line ' || l_linenumber AS description",
+            "'buyer_' || l_partkey % 20 AS requested_by",
+            iso.format("shipped") + " AS po_date",
+            iso.format("shipped + make_dt_interval(int((l_partkey + 13 * l_linenumber) % 60))") + " AS delivery_date",
+            iso.format("shipped") + " AS created_at",
+            iso.format("shipped + make_dt_interval(0, l_linenumber)") + " AS updated_at",
         )
 
     @cached_property
@@ -229,55 +232,46 @@ class DriverTables:
 
     @cached_property
     def raw_saas_events(self) -> DataFrame:
-        k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-        kind = F.col("event_type")
-        return self.table("events").select(
-            F.col("event_id").alias("id"),
+        return self.table("events").selectExpr(
+            "event_id AS id",
             "user_id",
-            F.when(kind == "view", "page_view")
-            .when(kind == "purchase", "upgrade")
-            .when(kind == "error", "payment_failed")
-            .when((kind == "click") & (F.col("event_id") % 2 == 0), "login")
-            .otherwise(kind)
-            .alias("event_type"),
-            pick(PAGES, k % 5).alias("page"),
-            F.col("props").alias("properties"),
-            F.col("ts").cast("timestamp").alias("occurred_at"),
+            "CASE WHEN event_type = 'view' THEN 'page_view' WHEN event_type = 'purchase' THEN 'upgrade' "
+            "WHEN event_type = 'error' THEN 'payment_failed' WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'login' "
+            "ELSE event_type END AS event_type",
+            f"element_at({sql_array(PAGES)}, int(regexp_extract(props, '([0-9]+)', 1)) % 5 + 1) AS page",
+            "props AS properties",
+            "timestamp(ts) AS occurred_at",
         )
 
     @cached_property
     def raw_saas_users(self) -> DataFrame:
-        key = F.col("user_id")
-        ts = F.col("ts").cast("timestamp")
-        seen = self.table("events").groupBy("user_id").agg(F.min(ts).alias("created_at"), F.max(ts).alias("updated_at"))
-        return seen.select(
-            key.alias("id"),
-            F.concat(F.lit("customer#"), F.lpad((key * 20).cast("string"), 9, "0"), F.lit("@example.com")).alias("email"),
-            F.concat(F.lit("User "), key.cast("string")).alias("name"),
-            F.concat(F.lit("Company "), (key % 40).cast("string")).alias("company"),
-            F.concat(F.lit("NATION_"), (key % 25).cast("string")).alias("country"),
-            pick(PLANS, key % 4).alias("plan"),
-            pick(PLAN_MRR, key % 4).alias("mrr"),
-            F.when(key % 5 == 0, "Churned").when(key % 5 == 1, "trial").otherwise("active").alias("status"),
+        moment = F.col("ts").cast("timestamp")
+        seen = self.table("events").groupBy("user_id").agg(F.min(moment).alias("created_at"), F.max(moment).alias("updated_at"))
+        return seen.selectExpr(
+            "user_id AS id",
+            "'customer#' || lpad(user_id * 20, 9, '0') || '@example.com' AS email",
+            "'User ' || user_id AS name",
+            "'Company ' || user_id % 40 AS company",
+            "'NATION_' || user_id % 25 AS country",
+            f"element_at({sql_array(PLANS)}, int(user_id % 4 + 1)) AS plan",
+            f"double(element_at({sql_array(PLAN_MRR)}, int(user_id % 4 + 1))) AS mrr",
+            "CASE user_id % 5 WHEN 0 THEN 'Churned' WHEN 1 THEN 'trial' ELSE 'active' END AS status",
             "created_at",
             "updated_at",
         )
 
     @cached_property
     def raw_saas_subscriptions(self) -> DataFrame:
-        key = F.col("event_id")
-        ts = F.col("ts").cast("timestamp")
-        yearly = key % 2 == 1
-        return self.table("events").filter(F.col("event_type") == "signup").select(
-            key.alias("id"),
+        return self.table("events").filter("event_type = 'signup'").selectExpr(
+            "event_id AS id",
             "user_id",
-            pick(PLANS, key % 4).alias("plan"),
-            pick(PLAN_MRR, key % 4).alias("amount"),
-            F.when(yearly, "annual").otherwise("monthly").alias("billing_cycle"),
-            ts.alias("started_at"),
-            (ts + F.make_dt_interval(F.when(yearly, 365).otherwise(30))).alias("expires_at"),
-            pick(["Active", "cancelled", "expired"], key % 3).alias("status"),
-            ts.alias("created_at"),
+            f"element_at({sql_array(PLANS)}, int(event_id % 4 + 1)) AS plan",
+            f"double(element_at({sql_array(PLAN_MRR)}, int(event_id % 4 + 1))) AS amount",
+            "if(event_id % 2 = 1, 'annual', 'monthly') AS billing_cycle",
+            "timestamp(ts) AS started_at",
+            "timestamp(ts) + make_dt_interval(if(event_id % 2 = 1, 365, 30)) AS expires_at",
+            "element_at(array('Active', 'cancelled', 'expired'), int(event_id % 3 + 1)) AS status",
+            "timestamp(ts) AS created_at",
         )
 
     @cached_property
