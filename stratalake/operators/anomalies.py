@@ -45,14 +45,16 @@ def suppress_expected(anomalies: DataFrame, day: str = "day") -> DataFrame:
 def duration_anomaly(runs: DataFrame) -> DataFrame:
     """Runs longer than twice the mean duration of the dag's runs in the seven days before.
 
-    Durations are summed per dag and day first; the window runs over days, not over runs.
+    Durations, in whole tenths of minutes, are summed per dag and day first; the window runs over days,
+    not over runs.
     """
     timed = with_duration(runs).filter(F.col("duration_min").isNotNull()).withColumn("day", F.to_date("start_date"))
-    daily = timed.groupBy("dag_id", "day").agg(F.sum("duration_min").alias("minutes"), F.count("*").alias("n"))
+    tenths = F.round(F.col("duration_min") * 10).cast("bigint")
+    daily = timed.groupBy("dag_id", "day").agg(F.sum(tenths).alias("tenths"), F.count("*").alias("n"))
     days = daily.withColumn("day_no", F.unix_date("day"))
     before = Window.partitionBy("dag_id").orderBy("day_no").rangeBetween(-DURATION_DAYS, -1)
-    mean = F.try_divide(F.sum("minutes").over(before), F.sum("n").over(before))
-    baseline = days.select("dag_id", "day", F.round(mean, 4).alias("mean_min"))
+    mean = F.try_divide(F.sum("tenths").over(before), F.sum("n").over(before) * 10)
+    baseline = days.select("dag_id", "day", mean.alias("mean_min"))
     joined = timed.join(baseline, ["dag_id", "day"])
     late = joined.filter(F.col("duration_min") > F.col("mean_min") * DURATION_FACTOR)
     return late.select("dag_id", "dag_run_id", "duration_min", "mean_min")

@@ -342,4 +342,7 @@ def with_views(sql: str) -> str:
     if not needed:
         return sql.strip()
     views = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in VIEWS if name in needed)
-    return f"WITH {views}\n{sql.strip()}"
+    body = sql.strip()
+    if body.startswith("WITH "):
+        body = ", " + body.removeprefix("WITH ")
+    return f"WITH {views}\n{body}"
