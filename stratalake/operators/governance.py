@@ -56,8 +56,12 @@ def _mentions(queries: DataFrame, names: DataFrame, whole_word: bool) -> DataFra
 
 
 def _contained(text: str, names: str) -> Column:
-    """The entries of a list column that occur in a text column."""
-    return F.filter(F.col(names), lambda n: F.contains(F.col(text), n))
+    """The entries of a list column that occur in a text column.
+
+    The text is bound to a variable first, so that an expression behind it is evaluated once per row.
+    """
+    bound = F.transform(F.array(text), lambda t: F.filter(F.col(names), lambda n: F.contains(t, n)))
+    return F.element_at(bound, 1)
 
 
 def _fits(names: DataFrame) -> bool:

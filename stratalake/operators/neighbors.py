@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import first_n
@@ -77,11 +77,12 @@ def _scan_blocks(queries: DataFrame, corpus: DataFrame, k: int, max_dist, metric
     one cell, so no task holds more than two blocks and no single pair of rows is ever shuffled."""
     blocks = int(queries.count() // BLOCK_ROWS + 1)
     shards = int(corpus.count() // BLOCK_ROWS + 1)
-    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    whole = lambda n: F.lit(n).cast("bigint")
+    numbers = lambda n: F.explode(F.sequence(whole(0), whole(n - 1)))
     left = queries.select("query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"))
     right = corpus.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"))
-    left = left.withColumn("shard", numbers(shards).cast("bigint"))
-    right = right.withColumn("block", numbers(blocks).cast("bigint"))
+    left = left.withColumn("shard", numbers(shards))
+    right = right.withColumn("block", numbers(blocks))
 
     def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -115,8 +116,6 @@ def knn(
 
 def ranked(hits: DataFrame, k: int) -> DataFrame:
     """The k nearest hits per query; numbered only after at most k rows per query are left."""
-    from pyspark.sql import Window
-
     best = first_n(hits, ["query_id"], [F.col("distance"), F.col("vec_id")], k)
     return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id")))
 

@@ -88,11 +88,14 @@ ERROR_WORDS = "ERROR|Exception|Error|Traceback"
 
 
 def intent_scores(
-    text: Column, keywords: Mapping[str, Sequence[str]] = INTENT_KEYWORDS, weights: Mapping[str, int] = INTENT_WEIGHTS
+    folded: Column, keywords: Mapping[str, Sequence[str]] = INTENT_KEYWORDS, weights: Mapping[str, int] = INTENT_WEIGHTS
 ) -> dict[str, Column]:
-    """Weighted number of key words present in the text, per intent."""
-    folded = F.lower(text)
-    found = lambda words: F.size(F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(folded, w)))
+    """Weighted number of key words present in a text that is in lower case already, per intent."""
+
+    def found(words: Sequence[str]) -> Column:
+        present = [F.contains(folded, F.lit(w)).cast("int") for w in words]
+        return sum(present[1:], present[0])
+
     return {intent: found(words) * weights.get(intent, 1) for intent, words in keywords.items()}
 
 
@@ -109,13 +112,14 @@ def tag_intent(
     The key words are constants in the plan: no join, no shuffle, one scan of every whole text.
     """
     names = {intent: f"__score_{intent}" for intent in keywords}
-    scored = messages.withColumns({names[i]: c for i, c in intent_scores(F.col(text), keywords, weights).items()})
+    folded = messages.withColumn("__folded", F.lower(text))
+    scored = folded.withColumns({names[i]: c for i, c in intent_scores(F.col("__folded"), keywords, weights).items()})
     scored = scored.withColumn("intent_score", F.greatest(*[F.col(n) for n in names.values()]))
     chosen = F.lit(default)
     for intent in reversed(priority):
         chosen = F.when(F.col(names[intent]) == F.col("intent_score"), F.lit(intent)).otherwise(chosen)
     tagged = scored.withColumn("intent", F.when(F.col("intent_score") == 0, F.lit(default)).otherwise(chosen))
-    return tagged.drop(*names.values())
+    return tagged.drop("__folded", *names.values())
 
 
 def search_messages(messages: DataFrame, session: str, needle: str, n: int = 20) -> DataFrame:

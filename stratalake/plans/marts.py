@@ -88,25 +88,19 @@ def cohort_days(subscriptions: DataFrame) -> DataFrame:
     return active.withColumn("cohort_day", F.min("day").over(Window.partitionBy("user_id")))
 
 
-def fct_weekly_active_users(subscriptions: DataFrame, rows: int = 7, salts: int = 32) -> DataFrame:
+def fct_weekly_active_users(subscriptions: DataFrame, rows: int = 7) -> DataFrame:
     """Distinct users among the last ``rows`` rows of a cohort, ordered by day and user.
 
     A cohort can be very large, so it never becomes one window. Users are distinct within a (cohort, day):
     from its row number ``rows`` on, every row sees exactly ``rows`` users. Only the first ``rows - 1`` rows
-    of a day look back across days, and for them the last ``rows - 1`` rows of each day are enough. Those
-    edge rows are picked with a salted rank and only they go through the cohort window.
+    of a day look back across days, and for them the last ``rows - 1`` rows of each day are enough. These
+    edge rows are picked per map task before the shuffle, and only they go through the cohort window.
     """
     edge = rows - 1
     active = cohort_days(subscriptions)
-    salt = F.pmod(F.xxhash64("user_id"), F.lit(salts))
     day_keys = ["cohort_day", "day"]
-
-    def edge_rows(order: Column) -> DataFrame:
-        salted = first_n(active.withColumn("salt", salt), [*day_keys, "salt"], [order], edge).drop("salt")
-        return first_n(salted, day_keys, [order], edge)
-
-    heads = edge_rows(F.col("user_id").asc()).withColumn("is_head", F.lit(1))
-    tails = edge_rows(F.col("user_id").desc()).withColumn("is_tail", F.lit(1))
+    heads = first_n(active, day_keys, [F.col("user_id").asc()], edge).withColumn("is_head", F.lit(1))
+    tails = first_n(active, day_keys, [F.col("user_id").desc()], edge).withColumn("is_tail", F.lit(1))
     edges = heads.join(tails, [*day_keys, "user_id"], "full_outer")
     frame = Window.partitionBy("cohort_day").orderBy("day", "user_id").rowsBetween(-edge, 0)
     counted = (

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from stratalake.functions.dates import as_timestamp
 from stratalake.operators.scd import current_only
 
+PROFILE_COLUMNS = [
+    "email", "customer_id", "user_id", "full_name", "shopflow_segment", "shopflow_country", "shopflow_city",
+    "shopflow_order_count", "total_shopflow_revenue", "saas_plan", "saas_mrr", "saas_status", "saas_company",
+    "saas_country", "is_churned",
+]
+
 
 def order_aggregates(orders_fact: DataFrame) -> DataFrame:
     """Order count and revenue per customer."""
@@ -17,20 +23,21 @@ def order_aggregates(orders_fact: DataFrame) -> DataFrame:
 
 
 def unified_customers(customers: DataFrame, users: DataFrame, orders_fact: DataFrame, as_of) -> DataFrame:
-    """Full outer join on the normalised e-mail; ``customer_type`` tells which sides a person is on."""
+    """Everybody on either side, matched on the normalised e-mail; ``customer_type`` tells which sides a person is on.
+
+    The full outer join is written as a left join plus the users without a store e-mail: unlike a full
+    outer join, a left join can be split by adaptive execution when one e-mail holds very many rows.
+    """
     email = F.lower(F.trim("email")).alias("email")
-    store = (
-        current_only(customers)
-        .select(
-            "customer_id",
-            email,
-            "full_name",
-            F.col("segment").alias("shopflow_segment"),
-            F.col("country").alias("shopflow_country"),
-            F.col("city").alias("shopflow_city"),
-        )
-        .join(order_aggregates(orders_fact), "customer_id", "left")
-    )
+    current = current_only(customers)
+    store = current.select(
+        "customer_id",
+        email,
+        "full_name",
+        F.col("segment").alias("shopflow_segment"),
+        F.col("country").alias("shopflow_country"),
+        F.col("city").alias("shopflow_city"),
+    ).join(order_aggregates(orders_fact), "customer_id", "left")
     saas = users.select(
         "user_id",
         email,
@@ -41,27 +48,11 @@ def unified_customers(customers: DataFrame, users: DataFrame, orders_fact: DataF
         F.col("country").alias("saas_country"),
         "is_churned",
     )
-    in_store, in_saas = F.col("customer_id").isNotNull(), F.col("user_id").isNotNull()
-    kind = F.when(in_store & in_saas, "cross_domain").when(in_store, "shopflow_only").otherwise("saas_only")
-    joined = store.join(saas, "email", "full_outer").fillna(
+    matched = store.join(saas, "email", "left")
+    saas_only = saas.join(current.select(email).distinct(), "email", "left_anti")
+    everybody = matched.unionByName(saas_only, allowMissingColumns=True).fillna(
         {"saas_mrr": 0.0, "is_churned": 0, "shopflow_order_count": 0, "total_shopflow_revenue": 0.0}
     )
-    return joined.select(
-        "email",
-        "customer_id",
-        "user_id",
-        "full_name",
-        "shopflow_segment",
-        "shopflow_country",
-        "shopflow_city",
-        "shopflow_order_count",
-        "total_shopflow_revenue",
-        "saas_plan",
-        "saas_mrr",
-        "saas_status",
-        "saas_company",
-        "saas_country",
-        "is_churned",
-        kind.alias("customer_type"),
-        as_timestamp(as_of).alias("profiled_at"),
-    )
+    in_store, in_saas = F.col("customer_id").isNotNull(), F.col("user_id").isNotNull()
+    kind = F.when(in_store & in_saas, "cross_domain").when(in_store, "shopflow_only").otherwise("saas_only")
+    return everybody.select(*PROFILE_COLUMNS, kind.alias("customer_type"), as_timestamp(as_of).alias("profiled_at"))

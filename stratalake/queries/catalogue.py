@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
 from stratalake.queries import checks, flows, logs, models  # noqa: F401
-from stratalake.queries.registry import ORACLES, QUERIES
+from stratalake.queries.registry import FUNCTIONS, ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["FUNCTIONS", "ORACLES", "QUERIES"]

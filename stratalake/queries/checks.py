@@ -650,14 +650,12 @@ query(
 
 
 def _evolution(t):
-    """Current source tables against a snapshot in which ``part`` had one column more and ``orders`` one less."""
-    current = governance.schema_rows({n: t.table(n) for n in ("customer", "orders", "part")}, "source")
-    before = {
-        "customer": t.table("customer"),
-        "orders": t.table("orders").drop("o_orderpriority"),
-        "part": t.table("part").withColumn("p_comment", F.lit("")),
-    }
-    return current, governance.schema_rows(before, "source")
+    """Schemas of the files as they are against a snapshot in which ``part`` had one column more and ``orders`` one less."""
+    names = ["customer", "orders", "part"]
+    current = {n: t.spark.read.parquet(f"{t.dir}/{n}.parquet") for n in names}
+    before = {n: t.table(n) for n in names}
+    before |= {"orders": before["orders"].drop("o_orderpriority"), "part": before["part"].withColumn("p_comment", F.lit(""))}
+    return governance.schema_rows(current, "source"), governance.schema_rows(before, "source")
 
 
 DRIFT = "SELECT 'orders' AS table_name, 'o_orderpriority' AS column_name, 'added' AS drift_type UNION ALL SELECT 'part', 'p_comment', 'removed'"

@@ -53,6 +53,15 @@ class Lake(DriverTables):
         lambda self: profile360.unified_customers(self.dim_customers, self.dim_users, self.fct_orders, ORDERS_AS_OF)
     )
 
+    def stored(self, root: str, names: list[str]) -> Lake:
+        """A lake whose named tables are written below ``root`` and read from there."""
+        out = type(self)(self.spark, self.dir)
+        for name in names:
+            df = getattr(self, name)
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+            out.__dict__[name] = self.spark.read.schema(df.schema).parquet(f"{root}/{name}")
+        return out
+
     @property
     def gold_tables(self) -> dict[str, DataFrame]:
         return {

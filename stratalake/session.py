@@ -10,10 +10,12 @@ from pyspark.sql import SparkSession
 #: Size up to which Spark itself may broadcast a join side (fixed value).
 BROADCAST_THRESHOLD = "50mb"
 
+# Skewed joins are split even where that costs another shuffle: one hot key may hold much of a table.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": BROADCAST_THRESHOLD,

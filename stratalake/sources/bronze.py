@@ -32,8 +32,10 @@ def _moment(*names: str) -> dict[str, Column]:
     return {n: F.col(n).cast("timestamp") for n in names}
 
 
-def _loose_moment(*names: str) -> dict[str, Column]:
-    return {n: parse_timestamp(F.col(n)) for n in names}
+def _loose_moment(raw: DataFrame, *names: str) -> dict[str, Column]:
+    """Text is parsed as well as it can be; a landing column that is a moment already is taken over."""
+    is_text = lambda n: raw.schema[n].dataType.typeName() == "string"
+    return {n: parse_timestamp(F.col(n)) if is_text(n) else F.col(n).cast("timestamp") for n in names}
 
 
 def _project(df: DataFrame, *groups: dict[str, Column], order: list[str]) -> DataFrame:
@@ -89,7 +91,7 @@ def bronze_vendors(raw: DataFrame) -> DataFrame:
         raw.filter(F.col("vendor_id") != ""),
         _text("vendor_id", "name", "contact_name", "phone", "country", "city", "category", "payment_terms"),
         {"email": F.lower(F.col("email").cast("string")), "is_active": F.col("is_active").cast("int")},
-        _loose_moment("created_at", "updated_at"),
+        _loose_moment(raw, "created_at", "updated_at"),
         order=["vendor_id", "name", "contact_name", "email", "phone", "country", "city", "category", "payment_terms", "is_active", "created_at", "updated_at"],
     )
 
@@ -100,7 +102,7 @@ def bronze_purchase_orders(raw: DataFrame) -> DataFrame:
         _text("po_id", "vendor_id", "currency", "status", "description", "requested_by"),
         {"amount": money(F.col("amount"))},
         _number("int", "line_items"),
-        _loose_moment("po_date", "delivery_date", "created_at", "updated_at"),
+        _loose_moment(raw, "po_date", "delivery_date", "created_at", "updated_at"),
         order=["po_id", "vendor_id", "amount", "currency", "status", "line_items", "description", "requested_by", "po_date", "delivery_date", "created_at", "updated_at"],
     )
 

@@ -158,9 +158,10 @@ class DriverTables:
 
     @cached_property
     def raw_purchase_orders(self) -> DataFrame:
-        iso = "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss\")"
-        return self.table("lineitem").withColumn("shipped", F.col("l_shipdate").cast("timestamp")).selectExpr(
-            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(shipped, 'yyyyMMdd')) AS po_id",
+        moment = F.col("l_shipdate").cast("timestamp")
+        return self.table("lineitem").withColumn("shipped", moment).selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+            "year(shipped) * 10000 + month(shipped) * 100 + day(shipped)) AS po_id",
             "'V' || l_suppkey AS vendor_id",
             "l_extendedprice AS amount",
             f"element_at({sql_array(CURRENCIES)}, int(l_linenumber % 4 + 1)) AS currency",
@@ -168,10 +169,10 @@ class DriverTables:
             "int(l_quantity) AS line_items",
             "' PO line ' || l_linenumber AS description",
             "'buyer_' || l_partkey % 20 AS requested_by",
-            iso.format("shipped") + " AS po_date",
-            iso.format("shipped + make_dt_interval(int((l_partkey + 13 * l_linenumber) % 60))") + " AS delivery_date",
-            iso.format("shipped") + " AS created_at",
-            iso.format("shipped + make_dt_interval(0, l_linenumber)") + " AS updated_at",
+            "shipped AS po_date",
+            "shipped + make_dt_interval(int((l_partkey + 13 * l_linenumber) % 60)) AS delivery_date",
+            "date_format(shipped, \"yyyy-MM-dd'T'HH:mm:ss\") AS created_at",
+            "shipped + make_dt_interval(0, l_linenumber) AS updated_at",
         )
 
     @cached_property

@@ -110,14 +110,14 @@ def refresh_mart(raw_path: str, mart_path: str) -> Callable[[SparkSession, int],
     """After-batch step: append the raw rows newer than the mart's watermark to the versioned mart."""
 
     def run(spark: SparkSession, batch_id: int) -> None:
-        raw = spark.read.parquet(raw_path).select(*MART_COLUMNS)
+        raw = spark.read.parquet(raw_path).select(*MART_COLUMNS, BATCH)
         try:
             mart = spark.read.parquet(mart_path).filter(F.col(BATCH) != batch_id)
             raw = raw.filter(F.col("enriched_at") > watermark(mart, "enriched_at", floor=None))
         except Exception as problem:  # first refresh: the mart has no files yet
             if "PATH_NOT_FOUND" not in str(problem):
                 raise
-        fresh = collapse_versions(raw, ["product_id"], "enriched_at", "sentiment")
+        fresh = collapse_versions(raw, ["product_id"], "enriched_at", BATCH).drop(BATCH)
         fresh.write.mode("overwrite").parquet(f"{mart_path}/{BATCH}={batch_id}")
 
     return run
