@@ -32,10 +32,12 @@ SERVE = [
     "top1_customers_by_spend", "dq7_referential_integrity", "dq19_expectations_orders", "met2_revenue_by_status_month",
 ]
 STORED = [
-    "bronze_customers", "bronze_orders", "dim_customers", "dim_products", "dim_vendors", "fct_orders", "fct_procurement", "stg_products",
+    "bronze_customers", "bronze_orders", "stg_customers", "stg_orders", "stg_products", "stg_purchase_orders", "dim_customers",
+    "dim_products", "dim_vendors", "fct_orders", "fct_procurement",
 ]
 
 
+
 def once(function, lake: Lake) -> float:
     start = time.perf_counter()
     shown(function(lake)).write.format("noop").mode("overwrite").save()

@@ -14,7 +14,8 @@ TOP_PRICE_TIER = "Luxury"
 
 def surrogate_key(*cols: Column) -> Column:
     """MD5 hex of the decimal text of an id (several parts are joined by a dash)."""
-    return F.md5(F.concat_ws("-", *[c.cast("string") for c in cols]))
+    texts = [c.cast("string") for c in cols]
+    return F.md5(texts[0] if len(texts) == 1 else F.concat_ws("-", *texts))
 
 
 def version_of(updated: Column, created: Column | None = None) -> Column:

@@ -169,7 +169,7 @@ def _fresh(t):
             "src_mysql_customers": (t.bronze_customers, "_airbyte_extracted_at", *daily),
             "src_mysql_orders": (t.bronze_orders, "_airbyte_extracted_at", *daily),
             "src_mysql_products": (t.bronze_products, "_airbyte_extracted_at", *daily),
-            "shopflow_products_enriched": (t.products_enriched, "enriched_at", 1, 3),
+            "products_enriched": (t.products_enriched, "enriched_at", 1, 3),
         },
         ORDERS_AS_OF,
     )
@@ -185,7 +185,7 @@ query(
     "dq8_freshness",
     " UNION ALL ".join(
         [_fresh_sql(f"src_mysql_{n}", f"bronze_{n}", "_airbyte_extracted_at", 25, 49) for n in ("customers", "orders", "products")]
-        + [_fresh_sql("shopflow_products_enriched", "products_enriched", "enriched_at", 1, 3)]
+        + [_fresh_sql("products_enriched", "products_enriched", "enriched_at", 1, 3)]
     ),
 )(_fresh)
 
@@ -466,6 +466,26 @@ query("prf2_profile_stats")(lambda t: profiling.profile_stats(t.fct_orders))
 query("prf2_profile_stats_exact", _stats_sql())(
     lambda t: profiling.profile_stats(t.fct_orders.select(*STATS), exact=True, accuracy=1_000_000)
 )
+
+
+def _close(approximate: str, exact: str, share: float):
+    """Whether a sketched figure lies within a share of the exact one."""
+    return F.coalesce(F.abs(F.col(approximate) - F.col(exact)) <= F.abs(exact) * share, F.col(exact).isNull())
+
+
+def _sketch_error(t):
+    """Exact figures, and whether the sketches come close to them."""
+    df = t.fct_orders.select(*STATS)
+    sketch = profiling.profile_stats(df).select("column_name", *[F.col(c).alias(f"s_{c}") for c in ("cardinality", "p5", "p95")])
+    exact = profiling.profile_stats(df, exact=True, accuracy=1_000_000)
+    flags = [_close(f"s_{c}", c, share).alias(f"{c}_close") for c, share in [("cardinality", 0.1), ("p5", 0.05), ("p95", 0.05)]]
+    return exact.join(sketch, "column_name").select("column_name", "cardinality", "p5", "p95", *flags)
+
+
+query(
+    "prf2_sketch_error",
+    "SELECT column_name, cardinality, p5, p95, true AS cardinality_close, true AS p5_close, true AS p95_close FROM (" + _stats_sql() + ")",
+)(_sketch_error)
 query("agg26_approximate_stats")(
     lambda t: t.fct_orders.agg(
         F.approx_count_distinct("customer_id").alias("customers"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,7 +74,16 @@ query(
     "src17_require_sources",
     "SELECT * FROM (VALUES ('customer', 1, true), ('orders', 1, true), ('part', 1, true), ('supplier', 1, true), ('shipments', 0, false)) v(prefix, files, present)",
 )(lambda t: files.require_sources(_listing(t), REQUIRED).withColumn("files", F.col("files").cast("int")))
-query("src18_file_inventory")(lambda t: files.file_inventory(_listing(t), dt.date.today()))
+
+
+def _src18(t):
+    """Ages are counted from the newest file."""
+    listing = _listing(t)
+    newest = listing.agg(F.max("modificationTime").alias("newest")).scalar()
+    return files.file_inventory(listing, newest)
+
+
+query("src18_file_inventory")(_src18)
 
 # ---- sinks -------------------------------------------------------------------------------------------
 

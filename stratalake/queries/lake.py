@@ -54,10 +54,13 @@ class Lake(DriverTables):
     )
 
     def stored(self, root: str, names: list[str]) -> Lake:
-        """A lake whose named tables are written below ``root`` and read from there."""
+        """A lake whose named tables are written below ``root`` and read from there.
+
+        Name them in dependency order: every table is built on the ones written before it.
+        """
         out = type(self)(self.spark, self.dir)
         for name in names:
-            df = getattr(self, name)
+            df = getattr(out, name)
             df.write.mode("overwrite").parquet(f"{root}/{name}")
             out.__dict__[name] = self.spark.read.schema(df.schema).parquet(f"{root}/{name}")
         return out

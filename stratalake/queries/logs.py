@@ -227,11 +227,6 @@ def _rounded(df):
     return df.withColumn("distance", F.round("distance", 6))
 
 
-def _vectors(t):
-    """All vectors as queries against all vectors of the table."""
-    return t.table("embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
-
-
 HITS = """WITH cells AS (SELECT label, generate_subscripts(embedding, 1) AS place, unnest(embedding) AS x FROM embeddings),
   q AS (SELECT CAST(label AS BIGINT) AS query_id, list(m ORDER BY place) AS v FROM (SELECT label, place, avg(CAST(x AS DOUBLE)) AS m
     FROM cells GROUP BY 1, 2) GROUP BY 1),
@@ -249,7 +244,6 @@ query(
     + f""" SELECT query_id, vec_id, round(distance, 6) AS distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INT) AS rank
       FROM d WHERE label = 1 AND distance < {MAX_DIST} QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= {K}""",
 )(lambda t: _rounded(neighbors.knn(_centroids(t), t.table("embeddings"), K, MAX_DIST, category=1)))
-query("nn1_knn_all_vectors")(lambda t: _rounded(neighbors.knn(_vectors(t), t.table("embeddings"), 5)))
 
 
 def _variants(t):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,8 +49,12 @@ def require_sources(listing: DataFrame, prefixes: Sequence[str]) -> DataFrame:
 
 
 def file_inventory(listing: DataFrame, as_of) -> DataFrame:
-    """Files, bytes, newest file, its age in hours and OK / WARN / MISSING for every prefix."""
-    age = (F.unix_timestamp(as_timestamp(as_of)) - F.unix_timestamp("latest")) / 3600
+    """Files, bytes, newest file, its age in hours and OK / WARN / MISSING for every prefix.
+
+    ``as_of`` is a moment or a column that holds one.
+    """
+    moment = as_of if isinstance(as_of, Column) else as_timestamp(as_of)
+    age = (F.unix_timestamp(moment) - F.unix_timestamp("latest")) / 3600
     return (
         listing.groupBy("prefix")
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("latest"))

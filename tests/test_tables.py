@@ -112,19 +112,20 @@ def hot_rows(seed=1, n=400):
     return out
 
 
-def test_bucketed_neighbours_equal_plain_windows(spark):
+@pytest.mark.parametrize("share", [0.0, 0.3, 1.1], ids=["all cut", "hot key cut", "none cut"])
+def test_bucketed_neighbours_equal_plain_windows(spark, share):
     from pyspark.sql import Window
 
     df = spark.createDataFrame(hot_rows(), "key int, seq int, ts timestamp, state string")
     plain = Window.partitionBy("key").orderBy("ts", "seq")
     day = F.to_date("ts")
-    before = previous_values(df, ["key"], ["ts", "seq"], {"p": "seq", "ps": "state"}, day)
-    after = next_values(df, ["key"], ["ts", "seq"], {"n": "seq"}, day)
+    before = previous_values(df, ["key"], ["ts", "seq"], {"p": "seq", "ps": "state"}, day, share)
+    after = next_values(df, ["key"], ["ts", "seq"], {"n": "seq"}, day, share)
     expected = df.withColumns({"p": F.lag("seq").over(plain), "ps": F.lag("state").over(plain)})
     assert content(before.select("seq", "p", "ps")) == content(expected.select("seq", "p", "ps"))
     assert content(after.select("seq", "n")) == content(df.withColumn("n", F.lead("seq").over(plain)).select("seq", "n"))
     fine = F.when(F.col("state") == "a", F.col("ts"))
-    seen = last_seen(df, ["key"], ["ts", "seq"], fine, "fine", day)
+    seen = last_seen(df, ["key"], ["ts", "seq"], fine, "fine", day, share)
     frame = plain.rowsBetween(Window.unboundedPreceding, -1)
     assert content(seen.select("seq", "fine")) == content(df.withColumn("fine", F.max(fine).over(frame)).select("seq", "fine"))
 
