@@ -35,7 +35,10 @@ def _best(query_ids, queries, ids, corpus, k: int, max_dist: float | None, metri
     dist = _distances(queries, corpus, metric)
     found = []
     for row, query_id in enumerate(query_ids):
-        best = np.lexsort((ids, dist[row]))[:k]
+        near = np.arange(len(ids))
+        if len(ids) > k:  # everything up to the k-th distance, ties included
+            near = np.flatnonzero(dist[row] <= np.partition(dist[row], k - 1)[k - 1])
+        best = near[np.lexsort((ids[near], dist[row][near]))[:k]]
         if max_dist is not None:
             best = best[dist[row][best] < max_dist]
         found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best], "distance": dist[row][best]}))

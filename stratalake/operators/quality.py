@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -121,10 +120,6 @@ def run_checkpoint(suites: Sequence[tuple[DataFrame, Mapping]]) -> DataFrame:
     )
 
 
-def suite_json(suite: Mapping) -> str:
-    return json.dumps(suite)
-
-
 # ---- declared schema tests ---------------------------------------------------------------------------
 
 

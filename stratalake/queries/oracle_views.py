@@ -199,7 +199,7 @@ SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name
   trim(first_name) || ' ' || trim(last_name) AS full_name, lower(trim(email)) AS email, {BLANK.format('phone')} AS phone,
   CASE WHEN upper(segment) IN ('B2B', 'B2C', 'VIP') THEN upper(segment) ELSE 'B2C' END AS segment,
   upper(trim(country)) AS country, {BLANK.format('city')} AS city, created_at, updated_at,
-  CAST(created_at AS DATE) AS created_date, DATE '2001-08-01' - CAST(created_at AS DATE) AS days_since_signup
+  CAST(created_at AS DATE) AS created_date, CAST(DATE '2001-08-01' - CAST(created_at AS DATE) AS INT) AS days_since_signup
 FROM bronze_customers WHERE customer_id > 0 AND email <> '' AND email LIKE '%@%'
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) = 1"""
 
@@ -250,7 +250,7 @@ FROM raw_saas_subscriptions WHERE user_id IS NOT NULL"""
 
 VIEWS["stg_users"] = """
 SELECT id AS user_id, email, lower(plan) AS plan, mrr, lower(status) AS status, country, company, created_at, updated_at,
-  DATE '2024-01-31' - CAST(created_at AS DATE) AS days_since_signup
+  CAST(DATE '2024-01-31' - CAST(created_at AS DATE) AS INT) AS days_since_signup
 FROM raw_saas_users WHERE email <> '' AND id IS NOT NULL"""
 
 VIEWS["dim_customers"] = """

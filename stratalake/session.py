@@ -9,10 +9,11 @@ from pyspark.sql import SparkSession
 
 #: Size up to which Spark itself may broadcast a join side (fixed value).
 BROADCAST_THRESHOLD = "50mb"
+TIME_ZONE = "spark.sql.session.timeZone"
 
 # Skewed joins are split even where that costs another shuffle: one hot key may hold much of a table.
 RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+    TIME_ZONE: "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -34,19 +35,26 @@ def build_session(master: str | None = None, app: str = "stratalake", **extra: s
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that somebody else built."""
+    """Apply the runtime settings to a session that somebody else built.
+
+    Settings the session was started with stay, but for the time zone, on which results depend.
+    """
+    started_with = spark.sparkContext.getConf()
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if key == TIME_ZONE or not started_with.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests on one machine) a new temporary folder is set.
+    Only a local session that names none (tests) gets a new temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stratalake-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

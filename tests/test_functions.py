@@ -85,3 +85,20 @@ def test_calendar_parts_never_lie_after_the_moment(spark, moments):
     df = dates.calendar_parts(spark.createDataFrame([(m,) for m in moments], "t timestamp"), "t")
     bad = df.filter((F.col("t_month") > F.col("t_day")) | (F.col("t_week") > F.col("t_day")) | (F.col("t_hour") > F.col("t")) | (F.dayofweek("t_week") != 2))
     assert bad.isEmpty()
+
+
+def test_time_spine(spark):
+    from stratalake.plans.semantic import densify, spine_of, time_spine
+
+    spine = time_spine(spark.range(1), "2020-01-01", "2030-12-31")
+    assert spine.count() == 4018
+    series = spark.createDataFrame([(dt.date(2024, 1, 1), 3), (dt.date(2024, 1, 3), 4)], "day date, n bigint")
+    dense = densify(series, spine_of(series, "day"), "day", zero=["n"]).orderBy("date_day")
+    assert [r.n for r in dense.collect()] == [3, 0, 4]
+
+
+def test_sessions_keep_their_own_settings(spark):
+    from stratalake.session import RUNTIME_SETTINGS, prepare
+
+    prepare(spark)
+    assert all(spark.conf.get(k) == v for k, v in RUNTIME_SETTINGS.items())
