@@ -1,7 +1,9 @@
 """Incremental tables: watermark, delete and insert by key, change application, retention.
 
 Nothing overwrites a table that is read in the same plan: every operator returns the whole new content,
-to be written to a new snapshot path.
+to be written to a new snapshot path. Where rewriting the table per load is too much, write the
+:func:`new_rows` alone into a versioned table (``sources/versioned.py``) or replace day partitions
+(:func:`overwrite_days`).
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from stratalake.operators.dedup import dedup_latest
 from stratalake.plans import marts
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
-from stratalake.sources import files, landing, sinks
+from stratalake.sources import files, landing, sinks, versioned
 from stratalake.sources.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, SCHEMAS, DriverTables
 from stratalake.streaming import cdc, enrichment, events
 
@@ -192,6 +192,21 @@ def _upsert_sql(floor: str, compare: str) -> str:
 query("inc1_incremental_upsert", _upsert_sql("date_trunc('hour', max(updated_at))", ">="))(
     lambda t: inc.incremental_upsert(*_halves(t), ["order_id"], "updated_at")
 )
+
+
+def _versioned(t):
+    """The same upsert by writing only the new rows, twice, next to the target."""
+    target, source = _halves(t)
+    path = scratch_path(t.spark, "versioned")
+    versioned.write_batch(target, path, 0)
+    stored = t.spark.read.schema(target.schema).parquet(f"{path}/{versioned.BATCH}=0")
+    fresh = inc.new_rows(source, stored, "updated_at")
+    for _ in range(2):
+        versioned.write_batch(fresh, path, 1)
+    return versioned.read_target(t.spark, path, ["order_id"], "updated_at")
+
+
+query("inc1_versioned_table", _upsert_sql("date_trunc('hour', max(updated_at))", ">="))(_versioned)
 query("inc2_plain_lookback", _upsert_sql("max(updated_at)", ">="))(
     lambda t: inc.incremental_upsert(*_halves(t), ["order_id"], "updated_at", floor=None)
 )

@@ -57,7 +57,7 @@ SELECT 'V' || s_suppkey AS vendor_id, s_name || ' ' AS name, ' Contact ' || s_su
 FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
 VIEWS["raw_purchase_orders"] = """
-SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) AS po_id,
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) - DATE '1970-01-01') AS po_id,
   'V' || l_suppkey AS vendor_id, l_extendedprice AS amount, ['usd', ' eur', 'gbp ', 'inr'][l_linenumber % 4 + 1] AS currency,
   CASE l_returnflag WHEN 'R' THEN 'received' WHEN 'A' THEN 'approved' ELSE 'Backlog' END AS status,
   CAST(l_quantity AS INT) AS line_items, ' PO line ' || l_linenumber AS description, 'buyer_' || (l_partkey % 20) AS requested_by,

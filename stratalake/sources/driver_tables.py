@@ -160,8 +160,7 @@ class DriverTables:
     def raw_purchase_orders(self) -> DataFrame:
         moment = F.col("l_shipdate").cast("timestamp")
         return self.table("lineitem").withColumn("shipped", moment).selectExpr(
-            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-            "year(shipped) * 10000 + month(shipped) * 100 + day(shipped)) AS po_id",
+            "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || unix_date(date(l_shipdate)) AS po_id",
             "'V' || l_suppkey AS vendor_id",
             "l_extendedprice AS amount",
             f"element_at({sql_array(CURRENCIES)}, int(l_linenumber % 4 + 1)) AS currency",

@@ -1,13 +1,8 @@
-"""Change-stream sources and keyed, replay-safe sinks.
-
-The sink keeps versions: a micro-batch writes only its own rows, under its batch id, and overwrites that
-folder when it is replayed. The reader collapses versions. So the cost of a batch follows the batch, not
-the size of the target, and at-least-once delivery gives every key exactly one final row.
-"""
+"""Change-stream sources and keyed, replay-safe sinks: every micro-batch is one load of a versioned table."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +11,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.functions.text import unwrap_payload
-from stratalake.operators.dedup import collapse_versions, dedup_latest
+from stratalake.operators.dedup import dedup_latest
+from stratalake.sources.versioned import BATCH, compact, read_target, write_batch
 
-BATCH = "batch_id"
 MAX_MESSAGES = 200
 FLUSH_INTERVAL = "30 seconds"
 
+__all__ = [
+    "BATCH", "StreamSource", "cdc_stream", "compact", "foreach_batch_upsert", "latest_in_batch", "read_target", "run_available",
+    "run_continuous", "unwrap_cdc", "write_batch",
+]
+
 MESSAGE = T.StructType([T.StructField("offset", T.LongType()), T.StructField("value", T.StringType())])
 PRODUCT = T.StructType(
     [
@@ -77,21 +77,6 @@ def latest_in_batch(rows: DataFrame, key: str = "product_id", order: str = "offs
     return dedup_latest(rows, [key], [order])
 
 
-def write_batch(rows: DataFrame, target: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
-
-
-def read_target(spark: SparkSession, target: str, keys: Sequence[str], version: str) -> DataFrame:
-    """Current rows of a versioned target: highest version per key, later batches win ties."""
-    return collapse_versions(spark.read.parquet(target), keys, version, BATCH).drop(BATCH)
-
-
-def compact(spark: SparkSession, target: str, new_target: str, keys: Sequence[str], version: str) -> str:
-    """Write the current rows as one batch of a new target folder."""
-    read_target(spark, target, keys, version).write.mode("overwrite").parquet(f"{new_target}/{BATCH}=0")
-    return new_target
-
-
 def foreach_batch_upsert(
     target: str, prepare: Callable[[DataFrame], DataFrame] | None = None, after: Callable[[SparkSession, int], None] | None = None
 ) -> Callable[[DataFrame, int], None]:
