@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: Size up to which Spark itself may broadcast a join side (fixed value).
-BROADCAST_THRESHOLD = "50mb"
+# A join side is broadcast when its size, measured at run time, is at most 50 MB. Estimates from
+# file sizes can be far too small, so on them alone only sides up to 10 MB are broadcast.
+MEASURED_BROADCAST = "50mb"
+ESTIMATED_BROADCAST = "10mb"
 TIME_ZONE = "spark.sql.session.timeZone"
 
 # Skewed joins are split even where that costs another shuffle: one hot key may hold much of a table.
@@ -19,7 +21,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": BROADCAST_THRESHOLD,
+    "spark.sql.autoBroadcastJoinThreshold": ESTIMATED_BROADCAST,
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": MEASURED_BROADCAST,
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
