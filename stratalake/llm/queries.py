@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from stratalake.llm import simhash
+from stratalake.llm import decontamination, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
+}
+ORACLES: dict[str, str] = {
+    "op8_benchmark_decontamination": decontamination.ORACLE,
 }
-ORACLES: dict[str, str] = {}
