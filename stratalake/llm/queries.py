@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratalake.llm import decontamination, simhash
+from stratalake.llm import decontamination, pii, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op3_personal_data": pii.op3_personal_data,
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
