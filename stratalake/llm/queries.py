@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stratalake.llm import decontamination, pii, simhash
+from stratalake.llm import decontamination, pii, quality, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op3_personal_data": pii.op3_personal_data,
+    "op6_quality_classifier": quality.op6_quality_classifier,
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
