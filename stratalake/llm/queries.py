@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from stratalake.llm import decontamination, pii, quality, simhash
+from stratalake.llm import decontamination, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op3_personal_data": pii.op3_personal_data,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op8_benchmark_decontamination": decontamination.ORACLE,
