@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from stratalake.llm import decontamination, pii, quality, simhash, toxicity
+from stratalake.llm import decontamination, fingerprints, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op3_personal_data": pii.op3_personal_data,
     "op6_quality_classifier": quality.op6_quality_classifier,
+    "op7_document_fingerprints": fingerprints.op7_document_fingerprints,
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
 }
