@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from stratalake.llm import decontamination, fingerprints, mixing, pii, quality, simhash, toxicity
+from stratalake.llm import chat, decontamination, fingerprints, mixing, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op3_personal_data": pii.op3_personal_data,
     "op4_mixing": mixing.op4_mixing,
+    "op5_chat_formatting": chat.op5_chat_formatting,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_document_fingerprints": fingerprints.op7_document_fingerprints,
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
