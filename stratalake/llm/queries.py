@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratalake.llm import chat, decontamination, fingerprints, mixing, pii, quality, simhash, toxicity
+from stratalake.llm import chat, decontamination, fingerprints, mixing, pii, quality, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op2_token_counts": token_counts.op2_token_counts,
     "op3_personal_data": pii.op3_personal_data,
     "op4_mixing": mixing.op4_mixing,
     "op5_chat_formatting": chat.op5_chat_formatting,
