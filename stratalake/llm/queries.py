@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import chat, decontamination, fingerprints, mixing, pii, quality, simhash, token_counts, toxicity
+from stratalake.llm import chat, decontamination, fingerprints, mixing, pii, quality, secret_scan, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_document_fingerprints": fingerprints.op7_document_fingerprints,
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 ORACLES: dict[str, str] = {
     "op8_benchmark_decontamination": decontamination.ORACLE,
