@@ -100,12 +100,14 @@ def parse_timestamp(col: Column) -> Column:
 def unwrap_payload(col: Column, row_schema: T.StructType) -> Column:
     """Row struct of a change message, which is either the row itself or ``{"payload": row}``.
 
-    Text that is no JSON object gives NULL.
+    Text that is no JSON object, an empty object and a payload that is no object or an empty one give NULL.
     """
-    plain = F.from_json(col, row_schema)
-    wrapped = F.from_json(col, T.StructType([T.StructField("payload", row_schema)]))
-    is_object = F.ltrim(col).startswith("{")
-    return F.when(is_object, F.coalesce(wrapped["payload"], plain))
+    parsed = F.try_parse_json(col)
+    inner = F.try_variant_get(parsed, "$.payload", "variant")
+    shape = F.schema_of_variant(F.coalesce(inner, parsed))
+    wrapped = F.from_json(col, T.StructType([T.StructField("payload", row_schema)]))["payload"]
+    row = F.when(inner.isNotNull(), wrapped).otherwise(F.from_json(col, row_schema))
+    return F.when(shape.startswith("OBJECT<") & (shape != "OBJECT<>"), row)
 
 
 def question_key(agent: Column, text: Column) -> Column:

@@ -10,12 +10,14 @@ MONEY = "decimal(18,2)"
 # Price limits and their names; prices from the last limit on are "Luxury".
 PRICE_TIERS = [(50, "Budget"), (200, "Mid-range"), (500, "Premium")]
 TOP_PRICE_TIER = "Luxury"
+# Fixed value: stands for a NULL part of a key of several parts.
+NULL_PART = "_null_"
 
 
 def surrogate_key(*cols: Column) -> Column:
-    """MD5 hex of the decimal text of an id (several parts are joined by a dash)."""
+    """MD5 hex of the decimal text of an id; several parts are joined by a dash, a NULL part counts as ``_null_``."""
     texts = [c.cast("string") for c in cols]
-    return F.md5(texts[0] if len(texts) == 1 else F.concat_ws("-", *texts))
+    return F.md5(texts[0] if len(texts) == 1 else F.concat_ws("-", *[F.coalesce(t, F.lit(NULL_PART)) for t in texts]))
 
 
 def version_of(updated: Column, created: Column | None = None) -> Column:

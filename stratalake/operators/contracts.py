@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.profiling import NUMERIC, string_columns, value_counts
-from stratalake.operators.quality import unpivot_rows
+from stratalake.operators.profiling import NUMERIC, few_valued, string_columns, value_counts
+from stratalake.operators.quality import is_blank, unpivot_rows
 
 # Columns that never get a not-null rule, and rule thresholds.
 INTERNAL_COLUMNS = ("_sign", "_version")
@@ -67,14 +69,13 @@ def generate_stat_contract(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
     entries.append(_entry(ROW_COUNT, None, F.col("total") * 0.5, F.col("total") * 2) | {"when": F.lit(True)})
     for place, field in enumerate(fields):
         col = F.col(f"`{field.name}`")
-        missing = col.isNull() | (col.cast("string") == "")
-        aggregates.append(F.count_if(missing).alias(f"blank{place}"))
+        aggregates.append(F.count_if(is_blank(df, field.name)).alias(f"blank{place}"))
         entries.append(_entry(NOT_NULL, field.name) | {"when": F.col(f"blank{place}") == 0})
         if isinstance(field.dataType, NUMERIC):
             both = F.percentile_approx(col.cast("double"), [0.05, 0.95], accuracy)
             aggregates.append(both.alias(f"pct{place}"))
             pct = F.col(f"pct{place}")
-            entries.append(_entry(BETWEEN, field.name, F.round(pct[0], 2), F.round(F.round(pct[1], 2) * 1.5, 2)) | {"when": F.lit(True)})
+            entries.append(_entry(BETWEEN, field.name, F.round(pct[0], 2), F.round(pct[1].cast("decimal(20,2)") * F.lit(Decimal("1.5")), 2)) | {"when": F.lit(True)})
         if is_key(field.name):
             entries.append(_entry(UNIQUE, field.name) | {"when": F.lit(True)})
     rules = unpivot_rows(df.agg(*aggregates), entries).filter("when").drop("when")
@@ -87,9 +88,11 @@ def generate_stat_contract(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
 def value_sets(df: DataFrame, texts: list[str], fewer_than: int = FEW_VALUES) -> DataFrame:
     """In-set rules for the text columns with fewer than 20 distinct values.
 
-    Columns are narrowed by their distinct count first, so the value list holds at most 19 entries.
+    Columns are narrowed by a sketch of their distinct count before their values are counted (with room for its error), and by
+    the exact one after, so the value list holds at most 19 entries.
     """
-    counts = value_counts(df, texts).filter(F.col("value").isNotNull())
+    chosen = few_valued(df, texts, F.approx_count_distinct, 2 * fewer_than)
+    counts = value_counts(df, texts, chosen).filter(F.col("value").isNotNull())
     small = counts.groupBy("column_name").agg(F.count("*").alias("n")).filter(F.col("n") < fewer_than).select("column_name")
     sets = counts.join(small, "column_name", "left_semi").groupBy("column_name")
     listed = sets.agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("value_set"))

@@ -18,7 +18,6 @@ UNSAFE_KEYWORDS = [
 ]
 MODEL_PREFIXES = ["fct_", "dim_", "stg_", "mart_"]
 MODEL_SCHEMAS = ["gold", "staging"]
-MAX_NAMES = 10_000
 RUN_TABLES = ("fct_orders", "dim_customers")
 
 
@@ -37,50 +36,31 @@ def finished_selects(log: DataFrame, as_of, hours: int = 24, schema: str = "gold
 
 
 def _mentions(queries: DataFrame, names: DataFrame, whole_word: bool) -> DataFrame:
-    """Queries and last query time per mentioned name.
+    """Queries and last query time per mentioned name, whatever the number of names.
 
-    Substring search over the distinct column names: while they are few (the size is checked), the names
-    travel as one array and every query text is scanned once. Beyond that, and for whole words, the
-    texts are cut into words and joined with the names by equality or by shared three-letter pieces.
+    A name of word characters is mentioned inside a word of the text. The log's distinct words, its vocabulary, are cut into the
+    pieces that are as long as some name, and these are joined with the names by equality; texts are never copied. Names with
+    other characters, rare among columns, are searched in the whole text.
     """
-    text = F.lower("query")
+    numbered = queries.select("event_time", F.lower("query").alias("text"), F.monotonically_increasing_id().alias("row"))
+    words = numbered.select("row", "event_time", F.explode(F.array_distinct(F.split("text", "[^a-z0-9_]+"))).alias("word")).filter("word <> ''")
     if whole_word:
-        words = queries.select("event_time", F.explode(F.array_distinct(F.split(text, "[^a-z0-9_]+"))).alias("name"))
-        hits = words.join(names, "name", "left_semi")
-    elif _fits(names):
-        listed = queries.select("event_time", text.alias("text"), names.agg(F.collect_list("name")).scalar().alias("names"))
-        hits = listed.select("event_time", F.explode(_contained("text", "names")).alias("name"))
+        hits = words.select("event_time", F.col("word").alias("name")).join(names, "name", "left_semi")
     else:
-        hits = _mentions_by_pieces(queries, names)
+        plain = names.filter(F.col("name").rlike("^[a-z0-9_]+$"))
+        lengths = plain.agg(F.coalesce(F.collect_set(F.length("name")), F.array().cast("array<int>"))).scalar()
+        vocabulary = words.select("word").distinct().withColumn("length", F.explode(lengths)).filter(F.length("word") >= F.col("length"))
+        starts = F.sequence(F.lit(1), F.length("word") - F.col("length") + 1)
+        pieces = F.array_distinct(F.transform(starts, lambda i: F.substr(F.col("word"), i, F.col("length"))))
+        held = vocabulary.select("word", F.explode(pieces).alias("name")).join(plain, "name").distinct()
+        inside = words.join(held, "word").select("row", "event_time", "name").distinct()
+        odd = names.filter(~F.col("name").rlike("^[a-z0-9_]+$")).agg(F.collect_list("name")).scalar()
+        anywhere = numbered.withColumn("names", odd).filter(F.size("names") > 0)
+        bound = F.element_at(F.transform(F.array("text"), lambda t: F.filter("names", lambda n: F.contains(t, n))), 1)
+        hits = inside.select("event_time", "name").unionByName(anywhere.select("event_time", F.explode(bound).alias("name")))
     return hits.groupBy("name").agg(F.count("*").alias("hits"), F.max("event_time").alias("last_queried_at"))
 
 
-def _contained(text: str, names: str) -> Column:
-    """The entries of a list column that occur in a text column.
-
-    The text is bound to a variable first, so that an expression behind it is evaluated once per row.
-    """
-    bound = F.transform(F.array(text), lambda t: F.filter(F.col(names), lambda n: F.contains(t, n)))
-    return F.element_at(bound, 1)
-
-
-def _fits(names: DataFrame) -> bool:
-    return names.limit(MAX_NAMES + 1).count() <= MAX_NAMES
-
-
-def _mentions_by_pieces(queries: DataFrame, names: DataFrame, size: int = 3) -> DataFrame:
-    """Substring search as an equi join: a name can only be contained where its first piece occurs."""
-    numbered = queries.select("event_time", F.lower("query").alias("text"))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("text") - size + 1))
-    pieces = F.array_distinct(F.transform(starts, lambda i: F.substr(F.col("text"), i, F.lit(size))))
-    cut = numbered.withColumn("piece", F.explode(pieces))
-    keyed = names.withColumn("piece", F.left("name", F.lit(size)))
-    long_names = cut.join(keyed.filter(F.length("name") >= size), "piece").filter(F.contains("text", "name"))
-    short = keyed.filter(F.length("name") < size).agg(F.collect_set("name")).scalar()
-    short_hits = numbered.withColumn("names", short).select("event_time", F.explode(_contained("text", "names")).alias("name"))
-    return long_names.select("event_time", "name").unionByName(short_hits)
-
-
 def column_usage(log: DataFrame, catalog: DataFrame, as_of, hours: int = 24, whole_word: bool = False) -> DataFrame:
     """Number of queries that mention each catalogue column, columns never mentioned included.
 

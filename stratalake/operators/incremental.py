@@ -84,11 +84,25 @@ def append_dedup(target: DataFrame, changes: DataFrame, keys: Sequence[str], cur
 
 
 def apply_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], deleted: str) -> DataFrame:
-    """Apply row images: the newest image per key replaces the row, or removes it when marked as deleted."""
+    """Apply row images: the newest image per key replaces the row, or removes it when marked as deleted.
+
+    An image that is older than the target's row (late delivery) changes nothing; an equally old one, a repeated delivery,
+    replaces it. Order columns that the target does not hold are not compared.
+    """
     latest = dedup_latest(changes, keys, order)
-    live = latest.filter(F.col(deleted).isNull() | (F.col(deleted) == ""))
-    kept = target.join(latest.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(live.select(*target.columns))
+    known = [c for c in order if c in target.columns]
+    image = latest.select(*keys, F.struct(*latest.columns).alias("__image"))
+    both = target.select(*keys, F.struct(*target.columns).alias("__row")).join(image, list(keys), "full_outer")
+    if known:
+        rank = lambda side: F.struct(*[F.col(side)[c] for c in known])
+        late = F.coalesce(F.col("__row").isNotNull() & F.col("__image").isNotNull() & (rank("__image") < rank("__row")), F.lit(False))
+    else:
+        late = F.lit(False)
+    replaces = F.col("__image").isNotNull() & ~late
+    mark = F.col("__image")[deleted]
+    gone = replaces & mark.isNotNull() & (mark != "")
+    chosen = [F.when(replaces, F.col("__image")[c]).otherwise(F.col("__row")[c]).alias(c) for c in target.columns]
+    return both.filter(~gone).select(*chosen)
 
 
 def apply_retention(df: DataFrame, ts: str, days: int, as_of) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import first_n
 
-MAX_LOCAL_QUERIES = 4096
-BLOCK_ROWS = 4096
+#: Corpus rows that a task holds at once, and queries matched with them at once.
+SHARD_ROWS = 32_768
+QUERY_ROWS = 64
 HITS = "query_id bigint, vec_id bigint, distance double"
 
 
@@ -50,50 +51,39 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype("float64") if len(vectors) else np.empty((0, 0))
 
 
-def _small(queries: DataFrame) -> pd.DataFrame | None:
-    """The query set when it has at most MAX_LOCAL_QUERIES rows, else None."""
-    head = queries.limit(MAX_LOCAL_QUERIES + 1).toPandas()
-    return head if len(head) <= MAX_LOCAL_QUERIES else None
+def _scan_shards(queries: DataFrame, corpus: DataFrame, k: int, max_dist, metric: str) -> DataFrame:
+    """Every query against every corpus row, in blocks.
 
-
-def _scan_corpus(queries: pd.DataFrame, corpus: DataFrame, k: int, max_dist, metric: str) -> DataFrame:
-    """One pass over the corpus: every task keeps its k best per query, so k rows per query leave a task."""
-    ids = queries["query_id"].to_numpy("int64")
-    vectors = _matrix(queries["embedding"])
+    The corpus is cut into shards of bounded size, each row going to one of them; every shard also gets all queries. A task holds
+    one shard, which comes first in its rows, and passes the queries by it batch by batch, keeping k rows per query. The number
+    of shards follows from the corpus' row count, which is a scalar of the same plan.
+    """
+    shards = F.greatest(F.lit(1), F.ceil(corpus.agg(F.count("*")).scalar() / F.lit(SHARD_ROWS)))
+    vector = F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
+    number = F.pmod(F.xxhash64("vec_id"), shards)
+    held = corpus.select(number.alias("shard"), F.lit(0).alias("kind"), F.col("vec_id").cast("bigint").alias("id"), vector)
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), shards - 1))
+    asked = queries.select(every.alias("shard"), F.lit(1).alias("kind"), F.col("query_id").cast("bigint").alias("id"), vector)
+    dealt = held.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
+        shard, ids, parts, block = None, [], [], None
         for batch in batches:
-            if not len(batch) or not len(ids):
-                continue
-            part = _best(ids, vectors, batch["vec_id"].to_numpy("int64"), _matrix(batch["embedding"]), k, max_dist, metric)
-            both = part if kept is None else pd.concat([kept, part])
-            kept = both.sort_values(["query_id", "distance", "vec_id"]).groupby("query_id").head(k)
-        if kept is not None:
-            yield kept
-
-    return corpus.select("vec_id", "embedding").mapInPandas(scan, HITS)
-
-
-def _scan_blocks(queries: DataFrame, corpus: DataFrame, k: int, max_dist, metric: str) -> DataFrame:
-    """Any number of queries: both sides are cut into blocks of bounded size and each pair of blocks is
-    one cell, so no task holds more than two blocks and no single pair of rows is ever shuffled."""
-    blocks = int(queries.count() // BLOCK_ROWS + 1)
-    shards = int(corpus.count() // BLOCK_ROWS + 1)
-    whole = lambda n: F.lit(n).cast("bigint")
-    numbers = lambda n: F.explode(F.sequence(whole(0), whole(n - 1)))
-    left = queries.select("query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"))
-    right = corpus.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"))
-    left = left.withColumn("shard", numbers(shards))
-    right = right.withColumn("block", numbers(blocks))
-
-    def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(c):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "distance": []})
-        return _best(q["query_id"].to_numpy("int64"), _matrix(q["embedding"]), c["vec_id"].to_numpy("int64"), _matrix(c["embedding"]), k, max_dist, metric)
-
-    keys = ["block", "shard"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(cell, HITS)
+            for number, rows in batch.groupby("shard", sort=True):
+                if number != shard:
+                    shard, ids, parts, block = number, [], [], None
+                corpus_rows, query_rows = rows[rows["kind"] == 0], rows[rows["kind"] == 1]
+                if len(corpus_rows):
+                    ids.append(corpus_rows["id"].to_numpy("int64"))
+                    parts.append(_matrix(corpus_rows["embedding"]))
+                if len(query_rows) and ids:
+                    if block is None:
+                        block = np.concatenate(ids), np.concatenate(parts)
+                    for at in range(0, len(query_rows), QUERY_ROWS):
+                        some = query_rows.iloc[at : at + QUERY_ROWS]
+                        yield _best(some["id"].to_numpy("int64"), _matrix(some["embedding"]), *block, k, max_dist, metric)
+
+    return dealt.mapInPandas(scan, HITS)
 
 
 def knn(
@@ -107,13 +97,12 @@ def knn(
 ) -> DataFrame:
     """Exact top-k per query with ``distance < max_dist``: (query_id, vec_id, distance, rank).
 
-    ``queries`` has query_id and embedding, ``corpus`` vec_id and embedding. A checked small query set is
-    shipped to the tasks and the corpus is scanned once; a larger one is matched block by block.
+    ``queries`` has query_id and embedding, ``corpus`` vec_id and embedding. The corpus is read and shuffled once, whatever
+    the number of queries.
     """
     if category is not None:
         corpus = corpus.filter(F.col(category_col) == category)
-    local = _small(queries.select("query_id", "embedding"))
-    scan = _scan_blocks(queries, corpus, k, max_dist, metric) if local is None else _scan_corpus(local, corpus, k, max_dist, metric)
+    scan = _scan_shards(queries, corpus, k, max_dist, metric)
     return ranked(scan, k)
 
 

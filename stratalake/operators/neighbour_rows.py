@@ -1,11 +1,8 @@
 """Previous and next row per key for keys of any size.
 
-A plain ``lag`` puts all rows of a key into one task. Here the rows of hot keys are cut into time buckets:
-the window runs inside (key, bucket), and only the last or first row of every bucket is carried to the
-neighbouring bucket. All other keys have a single bucket, so for them it is the plain window.
-
-Hot keys are found by a heavy-hitter sketch of bounded size. The result does not depend on which keys
-are cut, so the sketch need not be exact.
+A plain ``lag`` puts all rows of a key into one task. Here every key is cut into time buckets: a window runs inside (key, bucket),
+and a second one over the keys' bucket borders only, one row for each bucket. The other rows stay in their bucket during the second
+window. The input is read once, NULL keys are one key, and no key needs to be known as large.
 """
 
 from __future__ import annotations
@@ -15,78 +12,60 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET, EDGE, HOT, NEAR = "__bucket", "__edge", "__hot", "__near"
-HOT_SHARE = 0.001
-MAX_HOT = 500
-TRACKED_ITEMS = 20_000
-
-
-def _key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys)
+BUCKET, SIDE, NEAR, BORDER, SLOT = "__bucket", "__side", "__near", "__border", "__slot"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Column:
-    """Scalar subquery: hashes of the keys that hold more than a share of all rows, at most 500."""
-    items = F.expr(f"approx_top_k(__hash, {MAX_HOT}, {TRACKED_ITEMS})")
-    sketch = df.select(_key_hash(keys).alias("__hash")).agg(items.alias("items"), F.count("*").alias("total"))
-    heavy = F.filter("items", lambda i: i["count"] > F.col("total") * share)
-    return sketch.select(F.transform(heavy, lambda i: i["item"]).alias("hot")).scalar()
+def _across(keys: Sequence[str]) -> Window:
+    """Borders of a key together, other rows by bucket; borders come in order of their buckets."""
+    return Window.partitionBy(*keys, SLOT).orderBy(BUCKET)
 
 
-def _cut(df: DataFrame, keys: Sequence[str], bucket: Column, share: float) -> DataFrame:
-    hot = F.coalesce(F.array_contains(F.col("__hot_keys"), _key_hash(keys)), F.lit(False))
-    marked = df.withColumn("__hot_keys", hot_keys(df, keys, share)).withColumn(HOT, hot).drop("__hot_keys")
-    whole = F.lit("1970-01-01").cast("date")
-    return marked.withColumn(BUCKET, F.when(F.col(HOT), bucket).otherwise(whole))
+def _slot() -> Column:
+    return F.when(~F.col(BORDER), F.col(BUCKET))
 
 
-def _neighbour(df, keys, order, values, bucket, forward: bool, share: float) -> DataFrame:
-    names = list(values)
-    carried = F.struct(*[F.col(values[n]).alias(n) for n in names])
-    rank = F.struct(*[F.col(c) for c in order])
-    cut = _cut(df, keys, bucket, share)
-    shift, edge_of = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
-
-    # One row per bucket of a hot key.
-    edges = cut.filter(HOT).groupBy(*keys, BUCKET).agg(edge_of(carried, rank).alias(EDGE))
-    edges = edges.withColumn(EDGE, shift(EDGE).over(Window.partitionBy(*keys).orderBy(BUCKET)))
-
+def _neighbour(df, keys, order, values, bucket, forward: bool) -> DataFrame:
+    carried = F.struct(*[F.col(source).alias(name) for name, source in values.items()])
+    shift, far = (F.lead, F.first) if forward else (F.lag, F.last)
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    near = cut.withColumn(NEAR, shift(carried).over(inside)).join(edges, [*keys, BUCKET], "left")
-    taken = F.coalesce(NEAR, EDGE)
-    return near.withColumns({n: taken[n] for n in names}).drop(BUCKET, EDGE, HOT, NEAR)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cut = df.withColumn(BUCKET, bucket).withColumns(
+        {NEAR: shift(carried).over(inside), SIDE: far(carried).over(whole), BORDER: shift(F.lit(1)).over(inside).isNull()}
+    )
+    cut = cut.withColumn(SLOT, _slot())
+    moved = cut.withColumn(SIDE, shift(SIDE).over(_across(keys)))
+    taken = F.when(F.col(BORDER), F.col(SIDE)).otherwise(F.col(NEAR))
+    return moved.withColumns({name: taken[name] for name in values}).drop(BUCKET, SIDE, NEAR, BORDER, SLOT)
 
 
-def previous_values(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str], bucket: Column, share: float = HOT_SHARE
-) -> DataFrame:
+def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str], bucket: Column) -> DataFrame:
     """Add columns ``new name -> column`` taken from the previous row of the same key.
 
     ``order`` must be a total order per key without NULLs, and ``bucket`` a date that never decreases
     along it.
     """
-    return _neighbour(df, keys, order, values, bucket, False, share)
+    return _neighbour(df, keys, order, values, bucket, False)
 
 
-def next_values(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str], bucket: Column, share: float = HOT_SHARE
-) -> DataFrame:
+def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str], bucket: Column) -> DataFrame:
     """Like :func:`previous_values` with the following row."""
-    return _neighbour(df, keys, order, values, bucket, True, share)
+    return _neighbour(df, keys, order, values, bucket, True)
 
 
-def last_seen(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, bucket: Column, share: float = HOT_SHARE
-) -> DataFrame:
+def last_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, bucket: Column) -> DataFrame:
     """Add the greatest non-NULL ``value`` among all earlier rows of the key.
 
     The values must not decrease along the order (a moment, a sequence number), so the maximum of the
     earlier buckets together with the running maximum inside the bucket is the last one.
     """
-    cut = _cut(df.withColumn("__value", value), keys, bucket, share)
-    earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    tops = cut.filter(HOT).groupBy(*keys, BUCKET).agg(F.max("__value").alias(EDGE))
-    tops = tops.withColumn(EDGE, F.max(EDGE).over(earlier))
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    near = cut.withColumn(NEAR, F.max("__value").over(inside)).join(tops, [*keys, BUCKET], "left")
-    return near.withColumn(name, F.greatest(NEAR, EDGE)).drop(BUCKET, EDGE, HOT, NEAR, "__value")
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    cut = df.withColumn("__value", value).withColumn(BUCKET, bucket)
+    cut = cut.withColumns({SIDE: F.max("__value").over(whole), NEAR: F.max("__value").over(before), BORDER: F.lag(F.lit(1)).over(inside).isNull()})
+    cut = cut.withColumn(SLOT, _slot())
+    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    moved = cut.withColumn(SIDE, F.when(F.col(BORDER), F.max(SIDE).over(earlier)))
+    # The border row hands what it got to the other rows of its bucket.
+    shared = moved.withColumn(SIDE, F.max(SIDE).over(whole))
+    return shared.withColumn(name, F.greatest(NEAR, SIDE)).drop(BUCKET, SIDE, NEAR, BORDER, SLOT, "__value")

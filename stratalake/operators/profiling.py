@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from stratalake.operators.dedup import first_n
-from stratalake.operators.quality import is_blank, union_all, unpivot_rows
+from stratalake.operators.quality import is_blank, unpivot_rows
 
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.DecimalType)
 PROFILE_COLUMNS = "source string, column_name string, dtype string, row_count bigint, null_count bigint, null_rate double, min_val double, max_val double, mean_val double, stddev_val double, distinct_count bigint, top5_values string, error string"
@@ -24,10 +25,15 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value, rows) for several text columns in one pass; NULL is a value."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]))
-    long = df.select(pairs.alias("pair")).select("pair.*")
+def value_counts(df: DataFrame, columns: list[str], chosen: Column | None = None) -> DataFrame:
+    """(column_name, value, rows) for several text columns in one pass; NULL is a value.
+
+    ``chosen``, an array of column names (a scalar subquery), leaves out the other columns before anything is exploded.
+    """
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
+    if chosen is not None:
+        pairs = [F.when(F.array_contains(chosen, c), p) for c, p in zip(columns, pairs)]
+    long = df.select(F.explode(F.array(*pairs)).alias("pair")).filter("pair is not null").select("pair.*")
     return long.groupBy("column_name", "value").agg(F.count("*").alias("rows"))
 
 
@@ -90,22 +96,24 @@ def profile(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def profile_stats(
-    df: DataFrame, max_columns: int = 12, exact: bool = False, accuracy: int = 10_000, few: int = 20
-) -> DataFrame:
-    """Null percent (empty text counts), cardinality, 5th and 95th percentile, frequent values.
+def few_valued(df: DataFrame, columns: list[str], cardinality, few: int) -> Column:
+    """Scalar subquery: names of the columns with at most ``few`` distinct values by the given aggregate."""
+    row = df.agg(*[cardinality(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
+    names = F.array(*[F.when(F.col(f"c{i}") <= few, c) for i, c in enumerate(columns)])
+    return row.select(F.filter(names, lambda n: n.isNotNull()).alias("names")).scalar()
+
+
+def profile_stats(df: DataFrame, exact: bool = False, accuracy: int = 10_000, few: int = 20) -> DataFrame:
+    """Null percent (empty text counts), cardinality, 5th and 95th percentile, frequent values of every column.
 
     Cardinality and percentiles are sketches of bounded size; ``exact`` counts distinct values exactly.
-    Frequent values are shown for text columns with at most ``few`` distinct values. Only the first
-    ``max_columns`` columns are profiled.
+    Frequent values are shown, and counted, for text columns with at most ``few`` distinct values only.
     """
-    fields = df.schema.fields[:max_columns]
-    narrow = df.select([F.col(f"`{f.name}`") for f in fields])
     cardinality = F.count_distinct if exact else F.approx_count_distinct
     aggregates, entries = [F.count("*").alias("total")], []
-    for place, field in enumerate(fields):
+    for place, field in enumerate(df.schema.fields):
         col = F.col(f"`{field.name}`")
-        aggregates += [F.count_if(is_blank(col)).alias(f"blank{place}"), cardinality(col).alias(f"card{place}")]
+        aggregates += [F.count_if(is_blank(df, field.name)).alias(f"blank{place}"), cardinality(col).alias(f"card{place}")]
         low = high = F.lit(None).cast("double")
         if isinstance(field.dataType, NUMERIC):
             both = F.percentile_approx(col.cast("double"), [0.05, 0.95], accuracy)
@@ -122,30 +130,25 @@ def profile_stats(
                 "p95": F.round(high, 2),
             }
         )
-    base = unpivot_rows(narrow.agg(*aggregates), entries)
-    texts = string_columns(narrow)
+    base = unpivot_rows(df.agg(*aggregates), entries)
+    texts = string_columns(df)
     if not texts:
         return base.withColumn("top_values", F.lit(None).cast("string"))
-    shown = F.when(F.col("cardinality") <= few, F.col("top_values"))
-    joined = base.join(top_values_text(value_counts(narrow, texts)), "column_name", "left")
-    return joined.select(*base.columns, shown.alias("top_values"))
+    shown = value_counts(df, texts, few_valued(df, texts, cardinality, few))
+    return base.join(top_values_text(shown), "column_name", "left").select(*base.columns, "top_values")
 
 
 def profile_sources(spark: SparkSession, sources: Mapping[str, str], read: Callable | None = None) -> DataFrame:
-    """Profiles of several sources in one report; a source that cannot be read becomes an ``_error_`` row."""
+    """Profiles of several sources in one report; a source that cannot be read becomes an ``_error_`` row.
+
+    A file may prove unreadable only while it is scanned, so each profile (a row per column) is taken as it is built.
+    """
     reader = read or (lambda path: spark.read.parquet(path))
-    empty = spark.createDataFrame([], PROFILE_COLUMNS)
-    parts = [empty]
+    found = []
     for label, path in sources.items():
         try:
-            parts.append(profile(reader(path), label))
-        except AnalysisException as problem:
-            first_line = str(problem).splitlines()[0]
-            parts.append(spark.createDataFrame([(label, "_error_", first_line)], "source string, column_name string, error string"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
-
-
-__all__ = ["profile", "profile_sources", "profile_stats", "top_values", "top_values_text", "union_all", "value_counts"]
+            found += [r.asDict() for r in profile(reader(path), label).collect()]
+        except (PySparkException, Py4JJavaError) as problem:
+            found.append({"source": label, "column_name": "_error_", "error": str(problem).splitlines()[0]})
+    names = [c.split()[0] for c in PROFILE_COLUMNS.split(", ")]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in found], PROFILE_COLUMNS)

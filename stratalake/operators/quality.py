@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.functions.dates import as_date, as_timestamp
 from stratalake.operators.integrity import orphans
@@ -227,19 +228,20 @@ def quality_checks(checks: Mapping[str, tuple[DataFrame, Mapping[str, tuple[Colu
     return union_all(parts)
 
 
-def is_blank(col: Column) -> Column:
-    """NULL or empty text."""
-    return col.isNull() | (col.cast("string") == "")
+def is_blank(df: DataFrame, name: str) -> Column:
+    """NULL or, in a text column, empty."""
+    col = F.col(f"`{name}`")
+    return col.isNull() | (col == "") if isinstance(df.schema[name].dataType, T.StringType) else col.isNull()
 
 
 def null_rates(
     tables: Mapping[str, tuple[DataFrame, Sequence[str]]], max_rate: float = MAX_NULL_RATE, blank_is_null: bool = False
 ) -> DataFrame:
     """Null rate of the named columns against a maximum; empty tables give no row."""
-    missing = is_blank if blank_is_null else (lambda c: c.isNull())
+    missing = is_blank if blank_is_null else (lambda df, c: F.col(f"`{c}`").isNull())
     parts = []
     for table, (df, columns) in tables.items():
-        row = df.agg(F.count("*").alias("total"), *[F.count_if(missing(F.col(c))).alias(f"n_{c}") for c in columns])
+        row = df.agg(F.count("*").alias("total"), *[F.count_if(missing(df, c)).alias(f"n_{c}") for c in columns])
         entries = []
         for c in columns:
             rate = F.try_divide(F.col(f"n_{c}").cast("double"), F.col("total"))
@@ -251,7 +253,7 @@ def null_rates(
 def null_rate_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Percent of NULL or empty values of every column with its band, in one aggregation."""
     names = list(columns or df.columns)
-    row = df.agg(F.count("*").alias("total"), *[F.count_if(is_blank(F.col(c))).alias(f"n_{c}") for c in names])
+    row = df.agg(F.count("*").alias("total"), *[F.count_if(is_blank(df, c)).alias(f"n_{c}") for c in names])
     entries = []
     for c in names:
         pct = F.round(F.try_divide(F.col(f"n_{c}") * F.lit(100.0), F.col("total")), 2)

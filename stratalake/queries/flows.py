@@ -12,7 +12,7 @@ from stratalake.plans import marts
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
 from stratalake.sources import files, landing, sinks, versioned
-from stratalake.sources.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, SCHEMAS, DriverTables
+from stratalake.sources.driver_tables import BROKEN_MESSAGES, EVENTS_AS_OF, ORDERS_AS_OF, SCHEMAS, DriverTables
 from stratalake.streaming import cdc, enrichment, events
 
 ENRICHED_AT = "2001-08-01 00:00:00"
@@ -337,7 +337,10 @@ def _str1(t):
     return t.spark.read.parquet(run_stream(t, stream.select("offset"))).drop(cdc.BATCH)
 
 
-query("str1_cdc_stream", ALL_MESSAGES + ' SELECT "offset" FROM msg')(_str1)
+# Every landed message is read; those that hold no row are skipped later.
+LANDED = f"""(SELECT "offset" FROM msg UNION ALL
+  SELECT CAST(p_partkey * 2 + 1 AS BIGINT) FROM part WHERE p_partkey % 30 IN ({", ".join(map(str, BROKEN_MESSAGES))}))"""
+query("str1_cdc_stream", f'{ALL_MESSAGES} SELECT "offset" FROM {LANDED}')(_str1)
 
 
 def _str2(t):
@@ -356,7 +359,7 @@ def _str3(t):
     )
 
 
-query("str3_run_available", ALL_MESSAGES + " SELECT CAST(4 AS INT) AS batches, count(*) AS rows_read FROM msg")(_str3)
+query("str3_run_available", f"{ALL_MESSAGES} SELECT CAST(4 AS INT) AS batches, count(*) AS rows_read FROM {LANDED}")(_str3)
 
 
 def _str4(t):

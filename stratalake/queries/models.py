@@ -278,7 +278,9 @@ def _fn17(t):
     from stratalake.streaming.cdc import PRODUCT
 
     row = text.unwrap_payload(F.col("value"), PRODUCT)
-    return t.cdc_messages.select("offset", row["product_id"].alias("product_id"), row["name"].alias("name"), row["price"].alias("price"))
+    rows = t.cdc_messages.select("offset", row.alias("row")).filter("row is not null")
+    found = rows.select("offset", "row.product_id", "row.name", "row.price")
+    return found.filter("product_id is not null or name <> 'no id'")
 
 
 query(

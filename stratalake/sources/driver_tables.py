@@ -6,7 +6,7 @@ Ids start at 0 in the given tables; operators that demand a positive id drop tha
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -427,7 +427,10 @@ class DriverTables:
 
     @cached_property
     def cdc_messages(self) -> DataFrame:
-        """Product change messages in arrival order; odd products are wrapped in a payload, every third has two images."""
+        """Product change messages in arrival order; odd products are wrapped in a payload, every third has two images.
+
+        Some products send a message that holds no row: broken text, an empty object or payload, an object without id.
+        """
         key = F.col("p_partkey")
         versions = F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         price = F.round(F.col("p_retailprice") * F.col("p_size") / 50, 2)
@@ -442,7 +445,14 @@ class DriverTables:
         text = F.when(key_is_odd(), F.to_json(F.struct(F.lit("row").alias("schema"), body.alias("payload")))).otherwise(
             F.to_json(body)
         )
-        return rows.select((F.col("product_id") * 2 + F.col("version")).alias("offset"), text.alias("value"))
+        whole = rows.select((F.col("product_id") * 2 + F.col("version")).alias("offset"), text.alias("value"))
+        value = reduce(lambda c, kv: c.when(key % 30 == kv[0], kv[1]), BROKEN_MESSAGES.items(), F.when(F.lit(False), ""))
+        broken = self.table("part").select((key * 2 + 1).alias("offset"), value.alias("value")).filter(F.col("value").isNotNull())
+        return whole.unionByName(broken)
+
+
+#: By the remainder of the product's id; none is divisible by three, so their second offset is free.
+BROKEN_MESSAGES = {1: "{}", 2: '{"payload": null}', 4: '{"product_id": 1', 5: "{broken}", 7: "", 8: '{"name": "no id"}', 10: "[1]", 11: '{"payload": {}}'}
 
 
 def key_is_odd() -> Column:

@@ -14,7 +14,6 @@ from stratalake.functions.text import unwrap_payload
 from stratalake.operators.dedup import dedup_latest
 from stratalake.sources.versioned import BATCH, compact, read_target, write_batch
 
-MAX_MESSAGES = 200
 FLUSH_INTERVAL = "30 seconds"
 
 __all__ = [
@@ -64,12 +63,12 @@ def cdc_stream(spark: SparkSession, source: StreamSource) -> DataFrame:
 
 
 def unwrap_cdc(messages: DataFrame, row_schema: T.StructType = PRODUCT) -> DataFrame:
-    """Rows of the messages; anything that is no JSON object is skipped. The id may be called ``id``."""
+    """Rows of the messages; anything that is no JSON object or has no id is skipped. The id may be called ``id``."""
     rows = messages.select("offset", unwrap_payload(F.col("value"), row_schema).alias("row")).filter(F.col("row").isNotNull())
     flat = rows.select("offset", "row.*")
     if {"product_id", "id"} <= set(flat.columns):
         flat = flat.withColumn("product_id", F.coalesce("product_id", "id")).drop("id")
-    return flat
+    return flat.filter(F.col("product_id").isNotNull()) if "product_id" in flat.columns else flat
 
 
 def latest_in_batch(rows: DataFrame, key: str = "product_id", order: str = "offset") -> DataFrame:

@@ -137,12 +137,11 @@ def brute(queries, corpus, k, max_dist, metric="l2"):
     return out
 
 
-@pytest.mark.parametrize("local", [True, False])
+@pytest.mark.parametrize("rows", [32_768, 16])
 @pytest.mark.parametrize("max_dist", [None, 12.0])
-def test_neighbours_equal_brute_force(spark, monkeypatch, local, max_dist):
-    if not local:
-        monkeypatch.setattr(neighbors, "MAX_LOCAL_QUERIES", 3)
-        monkeypatch.setattr(neighbors, "BLOCK_ROWS", 16)
+def test_neighbours_equal_brute_force(spark, monkeypatch, rows, max_dist):
+    monkeypatch.setattr(neighbors, "SHARD_ROWS", rows)
+    monkeypatch.setattr(neighbors, "QUERY_ROWS", 7)
     q_rows, queries = vectors(spark, 20, "query_id", 1)
     c_rows, corpus = vectors(spark, 150, "vec_id", 2)
     hits = neighbors.knn(queries.drop("label"), corpus.repartition(5), 4, max_dist).collect()
@@ -150,6 +149,21 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, local, max_dist):
     assert max(r["rank"] for r in hits) <= 4
 
 
+def test_many_queries_give_the_same_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 6)]) for i in range(10_000)]
+    queries = spark.createDataFrame(rows, "query_id bigint, embedding array<float>")
+    _, corpus = vectors(spark, 100, "vec_id", 2)
+    few = neighbors.knn(queries.filter("query_id < 20"), corpus, 3)
+    assert content(neighbors.knn(queries, corpus, 3).filter("query_id < 20")) == content(few) and few.count() == 60
+
+
+def test_no_corpus_gives_no_neighbours(spark):
+    _, queries = vectors(spark, 3, "query_id", 1)
+    _, corpus = vectors(spark, 3, "vec_id", 2)
+    assert neighbors.knn(queries, corpus.filter("vec_id < 0"), 3).count() == 0
+
+
 def test_category_filter_and_bad_metric(spark):
     _, queries = vectors(spark, 3, "query_id", 1)
     c_rows, corpus = vectors(spark, 60, "vec_id", 2)

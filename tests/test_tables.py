@@ -79,6 +79,13 @@ def test_change_rows_update_insert_and_delete(spark):
     assert content(inc.apply_cdc(target, changes, ["id"], ["ts"], "deleted")) == [(1, "a3"), (3, "c")]
 
 
+def test_late_older_images_change_nothing(spark):
+    target = spark.createDataFrame([(1, "may", at(5)), (2, "may", at(5)), (3, "may", at(5))], SCHEMA)
+    late = [(1, "january", at(1), None), (2, "again", at(5), None), (3, "gone", at(1), "x"), (4, "new", at(1), None)]
+    out = inc.apply_cdc(target, spark.createDataFrame(late, SCHEMA + ", deleted string"), ["id"], ["ts"], "deleted")
+    assert content(out.select("id", "value")) == [(1, "may"), (2, "again"), (3, "may"), (4, "new")]
+
+
 def test_replace_day_is_idempotent(spark):
     schema = "day date, n bigint"
     days = [dt.date(2024, 1, d) for d in (1, 2)]
@@ -112,20 +119,22 @@ def hot_rows(seed=1, n=400):
     return out
 
 
-@pytest.mark.parametrize("share", [0.0, 0.3, 1.1], ids=["all cut", "hot key cut", "none cut"])
-def test_bucketed_neighbours_equal_plain_windows(spark, share):
+@pytest.mark.parametrize("null_key", [None, 0], ids=["hot key", "hot NULL key"])
+@pytest.mark.parametrize("unit", ["day", "week", "year"])
+def test_bucketed_neighbours_equal_plain_windows(spark, unit, null_key):
     from pyspark.sql import Window
 
     df = spark.createDataFrame(hot_rows(), "key int, seq int, ts timestamp, state string")
+    df = df.withColumn("key", F.nullif("key", F.lit(null_key).cast("int")))
     plain = Window.partitionBy("key").orderBy("ts", "seq")
-    day = F.to_date("ts")
-    before = previous_values(df, ["key"], ["ts", "seq"], {"p": "seq", "ps": "state"}, day, share)
-    after = next_values(df, ["key"], ["ts", "seq"], {"n": "seq"}, day, share)
+    day = F.to_date(F.date_trunc(unit, "ts"))
+    before = previous_values(df, ["key"], ["ts", "seq"], {"p": "seq", "ps": "state"}, day)
+    after = next_values(df, ["key"], ["ts", "seq"], {"n": "seq"}, day)
     expected = df.withColumns({"p": F.lag("seq").over(plain), "ps": F.lag("state").over(plain)})
     assert content(before.select("seq", "p", "ps")) == content(expected.select("seq", "p", "ps"))
     assert content(after.select("seq", "n")) == content(df.withColumn("n", F.lead("seq").over(plain)).select("seq", "n"))
     fine = F.when(F.col("state") == "a", F.col("ts"))
-    seen = last_seen(df, ["key"], ["ts", "seq"], fine, "fine", day, share)
+    seen = last_seen(df, ["key"], ["ts", "seq"], fine, "fine", day)
     frame = plain.rowsBetween(Window.unboundedPreceding, -1)
     assert content(seen.select("seq", "fine")) == content(df.withColumn("fine", F.max(fine).over(frame)).select("seq", "fine"))
 
