@@ -190,6 +190,3 @@ def log_run(tables: Mapping[str, DataFrame], run_date, run_id: str, dag_id: str)
     return counts.agg(
         *[of(name).alias(f"{name}_rows") for name in RUN_TABLES], F.sum("row_count").alias("gold_tables_rows")
     ).select(*[c.alias(n) for n, c in fixed.items()], *[f"{name}_rows" for name in RUN_TABLES], "gold_tables_rows")
-
-
-__all__ = ["union_all", "catalog", "column_usage", "schema_drift", "schema_evolution", "table_refs", "flag_unsafe_sql"]

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from stratalake.operators.dedup import first_n
 from stratalake.operators.quality import is_blank, unpivot_rows
+from stratalake.session import scratch_path
 
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.DecimalType)
 PROFILE_COLUMNS = "source string, column_name string, dtype string, row_count bigint, null_count bigint, null_rate double, min_val double, max_val double, mean_val double, stddev_val double, distinct_count bigint, top5_values string, error string"
@@ -141,14 +142,16 @@ def profile_stats(df: DataFrame, exact: bool = False, accuracy: int = 10_000, fe
 def profile_sources(spark: SparkSession, sources: Mapping[str, str], read: Callable | None = None) -> DataFrame:
     """Profiles of several sources in one report; a source that cannot be read becomes an ``_error_`` row.
 
-    A file may prove unreadable only while it is scanned, so each profile (a row per column) is taken as it is built.
+    A file may prove unreadable only while it is scanned, so each profile, a row per column, is written as it is built.
     """
     reader = read or (lambda path: spark.read.parquet(path))
-    found = []
-    for label, path in sources.items():
+    root, written, errors = scratch_path(spark, "profiles"), [], []
+    for place, (label, path) in enumerate(sources.items()):
         try:
-            found += [r.asDict() for r in profile(reader(path), label).collect()]
+            shaped = spark.createDataFrame([], PROFILE_COLUMNS).unionByName(profile(reader(path), label), allowMissingColumns=True)
+            shaped.write.parquet(f"{root}/{place}")
+            written.append(f"{root}/{place}")
         except (PySparkException, Py4JJavaError) as problem:
-            found.append({"source": label, "column_name": "_error_", "error": str(problem).splitlines()[0]})
-    names = [c.split()[0] for c in PROFILE_COLUMNS.split(", ")]
-    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in found], PROFILE_COLUMNS)
+            errors.append((label, "_error_", str(problem).splitlines()[0]))
+    report = spark.read.schema(PROFILE_COLUMNS).parquet(*written) if written else spark.createDataFrame([], PROFILE_COLUMNS)
+    return report.unionByName(spark.createDataFrame(errors, "source string, column_name string, error string"), allowMissingColumns=True)

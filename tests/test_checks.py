@@ -140,6 +140,22 @@ def test_unreadable_sources_are_listed(spark):
     assert [(r.source, r.column_name) for r in out] == [("gone", "_error_")] and "PATH_NOT_FOUND" in out[0].error
 
 
+def test_unreadable_files_are_listed_beside_readable_ones(spark, tmp_path):
+    spark.range(3).select(F.col("id"), F.lit("x").alias("t")).write.parquet(f"{tmp_path}/good")
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"PAR1 no table PAR1")
+    # Its footer is whole, so it fails only when it is scanned.
+    spark.range(5000).coalesce(1).write.parquet(f"{tmp_path}/late")
+    late = next((tmp_path / "late").glob("part-*.parquet"))
+    data = late.read_bytes()
+    late.write_bytes(data[:4] + b"\xff" * 200 + data[204:])
+    for crc in (tmp_path / "late").glob(".*.crc"):
+        crc.write_bytes(b"")
+    report = profiling.profile_sources(spark, {n: f"{tmp_path}/{n}" for n in ("bad", "good", "late")}).collect()
+    assert sorted((r.source, r.column_name) for r in report) == [("bad", "_error_"), ("good", "id"), ("good", "t"), ("late", "_error_")]
+    assert all(r.error for r in report if r.column_name == "_error_")
+
+
 def test_contract_bounds(spark):
     df = spark.range(1000).select(F.col("id").alias("order_id"), F.lit("x").alias("kind"))
     rules = {(r.expectation_type, r.column): (r.min_value, r.max_value) for r in contracts.generate_contract(df, {"order_id"}).collect()}
