@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.dates import as_date
+from stratalake.operators.quality import union_all, unpivot_rows
 
 AGGREGATES = {"count": F.count, "sum": F.sum, "average": F.avg, "count_distinct": F.count_distinct}
 
@@ -150,6 +151,24 @@ def query_ratio(
     return both.select(*keys, top, bottom, quotient.alias(name))
 
 
+def all_metrics(tables: Mapping[str, DataFrame], registry: Registry = REGISTRY) -> DataFrame:
+    """(metric, value) of every metric without grouping: one aggregation per model, ratios from the one row of all of them."""
+    plain = {name: m for name, m in registry.metrics.items() if not m.ratio}
+    parts = []
+    for key, model in registry.models.items():
+        own = {name: m for name, m in plain.items() if m.model == key}
+        if not own:
+            continue
+        df = tables[model.table]
+        row = (df.filter(model.condition) if model.condition else df).agg(*[model.measures[m.measure].column().cast("double").alias(n) for n, m in own.items()])
+        parts.append(unpivot_rows(row, [{"metric": F.lit(n), "value": F.col(n)} for n in own]))
+    stacked = union_all(parts)
+    row = stacked.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in plain])
+    entries = [{"metric": F.lit(n), "value": F.col(n)} for n in plain]
+    entries += [{"metric": F.lit(n), "value": F.try_divide(*[F.col(x) for x in m.ratio])} for n, m in registry.metrics.items() if m.ratio]
+    return unpivot_rows(row, entries)
+
+
 def time_spine(like: DataFrame, start, end) -> DataFrame:
     """One row per day from start to end, both included (dates or date columns of one row)."""
     days = F.sequence(as_date(start), as_date(end))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.plans import gold, marts, profile360, silver
-from stratalake.session import prepare
+from stratalake.session import prepare, scratch_path
 from stratalake.sources import bronze
 from stratalake.sources.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, DriverTables
 from stratalake.streaming.enrichment import mart_product_enrichment
@@ -65,6 +65,14 @@ class Lake(DriverTables):
             out.__dict__[name] = self.spark.read.schema(df.schema).parquet(f"{root}/{name}")
         return out
 
+    def with_dimensions(self, *names: str) -> Lake:
+        """A lake whose named dimensions are written to the shared folder first.
+
+        Spark then knows their real size when it plans a join with a fact (the estimate of a join's result is the product of its
+        sides) and keeps the fact where it is if the dimension is small.
+        """
+        return self.stored(scratch_path(self.spark, "dimensions"), list(names))
+
     @property
     def gold_tables(self) -> dict[str, DataFrame]:
         return {

@@ -133,11 +133,11 @@ query(
 query(
     "fct1_orders",
     "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(revenue AS DOUBLE) AS revenue) FROM fct_orders",
-)(lambda t: t.fct_orders)
+)(lambda t: t.with_dimensions("dim_products").fct_orders)
 query(
     "fct2_procurement",
     "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(fulfilled_amount AS DOUBLE) AS fulfilled_amount) FROM fct_procurement",
-)(lambda t: t.fct_procurement)
+)(lambda t: t.with_dimensions("dim_vendors").fct_procurement)
 query("fct3_reviews", "SELECT * FROM fct_reviews")(lambda t: t.fct_reviews)
 query("fct4_unified_customers", "SELECT * FROM unified")(lambda t: t.unified)
 query("fct5_product_enrichment", "SELECT * FROM mart_enrichment")(lambda t: t.mart_enrichment)
@@ -708,14 +708,7 @@ def _tables(t):
 
 def _met1(t):
     """Every metric of the registry as one row."""
-    parts = [
-        semantic.query_metric(_tables(t), name).select(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value"))
-        for name in semantic.REGISTRY.metrics
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.withColumn("value", F.round("value", 4))
+    return semantic.all_metrics(_tables(t)).withColumn("value", F.round("value", 4))
 
 
 query(

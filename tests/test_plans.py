@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stratalake.operators import profiling, quality
 from stratalake.operators.dedup import dedup_latest
 from stratalake.operators.integrity import orphans
+from stratalake.operators.scd import scd2_history
 from stratalake.plans import marts, suites
 from stratalake.queries.lake import Lake
 from stratalake.queries.models import _tables
@@ -90,6 +91,23 @@ def test_rows_are_aggregated_before_a_dimension_is_joined(lake):
     assert text.index("partial_sum(revenue", join) > join  # an aggregate below the join
 
 
+def test_the_procurement_fact_is_not_shuffled_for_its_vendors(lake):
+    text = plan(lake.with_dimensions("dim_vendors").fct_procurement)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "Exchange hashpartitioning(vendor_id" not in text
+
+
+def test_all_metrics_aggregate_each_table_once(lake):
+    tables = {n: lake.table("orders") for n in ("fct_orders", "dim_customers", "stg_subscriptions", "stg_events")}
+    names = {"fct_orders": "revenue order_id", "dim_customers": "customer_key is_current", "stg_subscriptions": "mrr user_id", "stg_events": "user_id"}
+    shaped = {n: df.select(*[F.col("o_orderkey").alias(c) for c in names[n].split()]) for n, df in tables.items()}
+    assert plan(semantic.all_metrics(shaped)).count("FileScan") == 4
+
+
+def test_scd2_history_reads_its_input_once(lake):
+    changes = lake.table("orders").select(F.col("o_custkey").alias("id"), "o_orderstatus", F.col("o_orderdate").cast("timestamp").alias("ts"), "o_orderkey")
+    assert plan(scd2_history(changes, "id", ["o_orderstatus"], "ts", "o_orderkey")).count("FileScan") == 1
+
+
 def test_metrics_read_only_what_they_need(lake):
     text = plan(semantic.query_metric(_tables(lake), "dau", [], "day"))
     assert "props" not in text.split("FileScan")[1].split("Batched")[0]
