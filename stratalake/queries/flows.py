@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import incremental as inc
 from stratalake.operators.dedup import dedup_latest
-from stratalake.plans import marts
+from stratalake.plans import gold, loads, marts, silver
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
 from stratalake.sources import files, landing, sinks, versioned
@@ -172,6 +172,7 @@ query("snk8_write_clustered", "SELECT order_id, order_date_day, order_month, CAS
 # ---- incremental -------------------------------------------------------------------------------------
 
 CUT = "2000-01-01"
+LATER = "2000-06-01"
 KEEP = ["order_id", "customer_id", "status", "updated_at"]
 
 
@@ -206,6 +207,53 @@ def _versioned(t):
     return versioned.read_target(t.spark, path, ["order_id"], "updated_at")
 
 
+# Models built into a stored target up to a moment, then loaded with the rest, in two loads of which the first is repeated.
+MODELS = {
+    "sil1_incremental": (lambda t, rows: silver.stg_customers(rows, ORDERS_AS_OF), "bronze_customers", "customer_id", "updated_at"),
+    "sil2_incremental": (lambda t, rows: silver.stg_orders(rows), "bronze_orders", "order_id", "updated_at"),
+    "sil4_incremental": (lambda t, rows: silver.stg_purchase_orders(rows), "bronze_purchase_orders", "po_id", "updated_at"),
+    "sil7_incremental": (lambda t, rows: silver.stg_events(rows), "raw_saas_events", "event_id", "occurred_at"),
+    "fct1_incremental": (lambda t, rows: gold.fct_orders(rows, t.dim_customers, t.dim_products), "stg_orders", "order_id", "updated_at"),
+    "fct2_incremental": (lambda t, rows: gold.fct_procurement(rows, t.dim_vendors), "stg_purchase_orders", "po_id", "updated_at"),
+}
+
+
+def _incremental(name):
+    make, source, key, ts = MODELS[name]
+
+    def run(t):
+        stored = t.with_dimensions(*{"fct1_incremental": ["dim_products", "dim_customers"], "fct2_incremental": ["dim_vendors"]}.get(name, []))
+        rows, path = getattr(t, source), scratch_path(t.spark, name)
+        model = lambda part: make(stored, part)
+        early, middle = (F.col(ts) < F.lit(m).cast("timestamp") for m in (("2024-01-15", "2024-01-25") if ts == "occurred_at" else (CUT, LATER)))
+        loads.build_model(model, rows.filter(early), path)
+        for batch in (1, 1):
+            loads.load_model(model, rows.filter(middle), path, ts, batch)
+        loads.load_model(model, rows, path, ts, 2)
+        return loads.read_model(rows, path, [key], ts)
+
+    return run
+
+
+MONEY = {"sil2_incremental": ("amount", "revenue"), "sil4_incremental": ("amount", "fulfilled_amount")}
+MONEY |= {"fct1_incremental": MONEY["sil2_incremental"], "fct2_incremental": MONEY["sil4_incremental"]}
+FULL = {
+    "sil1_incremental": "stg_customers", "sil2_incremental": "stg_orders", "sil4_incremental": "stg_purchase_orders", "sil7_incremental": "stg_events",
+    "fct1_incremental": "fct_orders", "fct2_incremental": "fct_procurement",
+}
+for _name, _full in FULL.items():
+    _shown = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MONEY.get(_name, ()))
+    query(_name, f"SELECT * {f'REPLACE ({_shown})' if _shown else ''} FROM {_full}")(_incremental(_name))
+
+
+def _fct5_target(t):
+    """The mart as of some moment, merged with the rows that came since."""
+    raw, moment = t.products_enriched, F.lit("2001-07-31 05:00:00").cast("timestamp")
+    mart = enrichment.mart_product_enrichment(raw.filter(F.col("enriched_at") < moment))
+    return enrichment.mart_product_enrichment(raw, mart)
+
+
+query("fct5_with_target", "SELECT * FROM mart_enrichment")(_fct5_target)
 query("inc1_versioned_table", _upsert_sql("date_trunc('hour', max(updated_at))", ">="))(_versioned)
 query("inc2_plain_lookback", _upsert_sql("max(updated_at)", ">="))(
     lambda t: inc.incremental_upsert(*_halves(t), ["order_id"], "updated_at", floor=None)
