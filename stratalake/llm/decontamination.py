@@ -87,14 +87,15 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     """The documents that no window of the benchmark hits, all columns as they are."""
     key = free_name(docs, "digest")
     marked, found = _hit_texts(docs, benchmark, text, key, length)
-    return marked.join(found.select(key), key, "left_anti").select(*docs.columns)
+    # Hits grow with the corpus: they are dealt out with the texts at every size, without sorting the texts.
+    return marked.join(found.select(key).hint("shuffle_hash"), key, "left_anti").select(*docs.columns)
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", length: int = WINDOW) -> DataFrame:
     """All documents; hit words are cut out of their texts together with the breaks before them."""
     key, places = free_name(docs, "digest"), free_name(docs, "places")
     marked, found = _hit_texts(docs, benchmark, text, key, length)
-    joined = marked.join(found.select(key, F.col("places").alias(places)), key, "left")
+    joined = marked.join(found.select(key, F.col("places").alias(places)).hint("shuffle_hash"), key, "left")
     # Words and the breaks before them are paired first: an expression inside a lambda is evaluated for each element.
     whole, gaps = F.regexp_extract_all(F.col(text), F.lit(CASED_WORD), F.lit(0)), F.split(F.col(text), CASED_WORD, -1)
     pairs = F.arrays_zip(whole.alias("w"), gaps.alias("g"))

@@ -157,7 +157,8 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], doc_i
     rates = found.select(F.col("row").alias(row), fitted.alias(rate))
     chance = F.pmod(F.xxhash64(F.lit("mixing"), doc_id, text), F.lit(1 << 30)) / float(1 << 30)
     times = (F.floor(F.col(rate)) + (chance < F.col(rate) - F.floor(F.col(rate))).cast("int")).cast("int")
-    joined = marked.join(rates, row).withColumn(copy, times).filter(F.col(copy) > 0)
+    # Rates grow with the corpus: they are dealt out with the texts at every size, without sorting the texts.
+    joined = marked.join(rates.hint("shuffle_hash"), row).withColumn(copy, times).filter(F.col(copy) > 0)
     return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*docs.columns, rate, copy)
 
 
