@@ -185,6 +185,12 @@ def row_count_anomaly(history: DataFrame, runs: int = 7, deviation: float = COUN
     return history.withColumn("mean_count", mean).withColumn("is_anomaly", F.coalesce(off, F.lit(False)))
 
 
+def previous_runs(history: DataFrame) -> DataFrame:
+    """Every run with the row count of the same table's run before; a table has one run per day."""
+    before = F.lag("row_count").over(Window.partitionBy("pipeline", "table_name").orderBy("run_date"))
+    return history.select("run_date", "pipeline", "table_name", "row_count", before.alias("prev_count"))
+
+
 def observability(history: DataFrame, current: DataFrame, run_date) -> DataFrame:
     """Current counts against the latest earlier run of each table; a drop of more than 25% is an anomaly."""
     earlier = history.filter(F.col("run_date") < as_date(run_date))

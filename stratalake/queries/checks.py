@@ -94,7 +94,11 @@ OBSERVED = """SELECT run_date, pipeline, table_name, row_count, prev_count, delt
       WHERE run_date < DATE '2024-01-30' QUALIFY row_number() OVER (PARTITION BY pipeline, table_name ORDER BY run_date DESC) = 1) p
     ON c.pipeline = p.pipeline AND c.table_name = p.table_name))"""
 query("dq3_observability", OBSERVED)(_dq3)
-query("win7_previous_run", OBSERVED)(_dq3)
+query(
+    "win7_previous_run",
+    """SELECT run_date, pipeline, table_name, row_count, lag(row_count) OVER (PARTITION BY pipeline, table_name ORDER BY run_date) AS prev_count
+      FROM table_counts""",
+)(lambda t: quality.previous_runs(t.table_counts))
 
 CHECKED = [
     ("fct_orders", "customer_key"), ("fct_orders", "product_key"), ("fct_orders", "order_date_day"), ("fct_orders", "revenue"),
@@ -691,22 +695,30 @@ query(
 # ---- schemas ---------------------------------------------------------------------------------------------
 
 
-def _evolution(t):
-    """Schemas of the files as they are against a snapshot in which ``part`` had one column more and ``orders`` one less."""
-    names = ["customer", "orders", "part"]
-    current = {n: t.spark.read.parquet(f"{t.dir}/{n}.parquet") for n in names}
-    before = {n: t.table(n) for n in names}
-    before |= {"orders": before["orders"].drop("o_orderpriority"), "part": before["part"].withColumn("p_comment", F.lit(""))}
-    return governance.schema_rows(current, "source"), governance.schema_rows(before, "source")
+def _attributes(t, day: str):
+    """The schema that the events of a day use: event types as tables, the attributes named in ``props`` as columns."""
+    events = t.table("events").filter(F.to_date("ts") == day)
+    named = F.concat(F.lit("k_"), F.get_json_object("props", "$.k"))
+    return events.select(F.col("event_type").alias("table_name"), named.alias("column_name")).distinct()
 
 
-DRIFT = "SELECT 'orders' AS table_name, 'o_orderpriority' AS column_name, 'added' AS drift_type UNION ALL SELECT 'part', 'p_comment', 'removed'"
-query("drf1_schema_evolution", DRIFT)(lambda t: governance.schema_evolution(*_evolution(t)))
-query("set1_set_difference", DRIFT)(lambda t: governance.schema_evolution(*_evolution(t)))
+NOW, BEFORE = "2024-01-30", "2024-01-29"
+ATTRIBUTES = f"""WITH attributes AS (SELECT DISTINCT CAST(ts AS DATE) AS day, event_type AS table_name,
+    'k_' || regexp_extract(props, '"k": *([0-9]+)', 1) AS column_name FROM events),
+  now AS (SELECT table_name, column_name FROM attributes WHERE day = DATE '{NOW}'),
+  before AS (SELECT table_name, column_name FROM attributes WHERE day = DATE '{BEFORE}'),
+  added AS (SELECT * FROM now EXCEPT SELECT * FROM before), removed AS (SELECT * FROM before EXCEPT SELECT * FROM now)"""
+query(
+    "drf1_schema_evolution",
+    ATTRIBUTES + " SELECT *, 'added' AS drift_type FROM added UNION ALL SELECT *, 'removed' FROM removed",
+)(lambda t: governance.schema_evolution(_attributes(t, NOW), _attributes(t, BEFORE)))
+query("set1_set_difference", ATTRIBUTES + " SELECT * FROM added")(lambda t: _attributes(t, NOW).exceptAll(_attributes(t, BEFORE)))
 query(
     "drf2_schema_drift",
-    "SELECT 'orders' AS table_name, 'o_orderpriority' AS added, '' AS removed UNION ALL SELECT 'part', '', 'p_comment'",
-)(lambda t: governance.schema_drift(*reversed(_evolution(t))))
+    ATTRIBUTES
+    + """ SELECT table_name, coalesce(string_agg(a, ', ' ORDER BY a), '') AS added, coalesce(string_agg(r, ', ' ORDER BY r), '') AS removed
+      FROM (SELECT table_name, column_name AS a, NULL AS r FROM added UNION ALL SELECT table_name, NULL, column_name FROM removed) GROUP BY 1""",
+)(lambda t: governance.schema_drift(_attributes(t, BEFORE), _attributes(t, NOW)))
 CATALOGUED = ["region", "nation", "customer", "orders", "lineitem", "events"]
 query(
     "drf3_catalog",

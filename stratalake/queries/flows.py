@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import incremental as inc
 from stratalake.operators.dedup import dedup_latest
+from stratalake.operators.quality import union_all
 from stratalake.plans import gold, loads, marts, silver
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
@@ -65,20 +66,29 @@ query(
 )
 
 
-def _listing(t) -> DataFrame:
-    return files.with_prefix(files.file_listing(t.spark, t.dir, "*.parquet"))
+REQUIRED = ["customer", "orders", "part", "supplier", "shipments"]
+
+
+def table_files(t) -> DataFrame:
+    """The files that hold rows of the given tables, as the rows themselves tell; a table is a prefix."""
+    parts = []
+    for name in ("customer", "orders", "part", "supplier", "lineitem", "events"):
+        rows = t.table(name).select("_metadata")
+        file = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"), F.col("_metadata.file_modification_time").alias("modificationTime")
+        parts.append(rows.select(F.lit(name).alias("prefix"), *file).distinct())
+    return union_all(parts)
 
 
-REQUIRED = ["customer", "orders", "part", "supplier", "shipments"]
 query(
     "src17_require_sources",
-    "SELECT * FROM (VALUES ('customer', 1, true), ('orders', 1, true), ('part', 1, true), ('supplier', 1, true), ('shipments', 0, false)) v(prefix, files, present)",
-)(lambda t: files.require_sources(_listing(t), REQUIRED).withColumn("files", F.col("files").cast("int")))
+    " UNION ALL ".join(f"SELECT '{n}' AS prefix, CAST(least(count(*), 1) AS INT) AS files, count(*) > 0 AS present FROM {n}" for n in REQUIRED[:-1])
+    + " UNION ALL SELECT 'shipments', 0, false",
+)(lambda t: files.require_sources(table_files(t), REQUIRED).withColumn("files", F.col("files").cast("int")))
 
 
 def _src18(t):
     """Ages are counted from the newest file."""
-    listing = _listing(t)
+    listing = table_files(t)
     newest = listing.agg(F.max("modificationTime").alias("newest")).scalar()
     return files.file_inventory(listing, newest)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratalake.operators import anomalies, neighbors, opslog, tagging
+from stratalake.queries.flows import table_files
 from stratalake.queries.registry import query
-from stratalake.sources import files
 from stratalake.sources.driver_tables import AGENTS, EVENTS_AS_OF
 
 # ---- cost --------------------------------------------------------------------------------------------
@@ -78,14 +78,12 @@ def _ops6(t):
 query(
     "ops6_storage_report",
     f"""SELECT table_name, stored, raw, {_size_sql('stored')} AS stored_size, {_size_sql('raw')} AS raw_size,
-      round(CAST(stored AS DOUBLE) * 100 / greatest(raw, 1), 1) AS ratio_pct, 'OK' AS band FROM (SELECT source AS table_name,
+      round(CAST(stored AS DOUBLE) * 100 / greatest(raw, 1), 1) AS ratio_pct, CASE WHEN stored < 500 * 1048576 THEN 'OK' WHEN stored <= 1073741824 THEN 'MONITOR' ELSE 'ARCHIVE' END AS band FROM (SELECT source AS table_name,
       CAST(sum(n_chars) AS BIGINT) AS stored, CAST(sum(strlen(text)) AS BIGINT) AS raw FROM documents GROUP BY 1)""",
 )(_ops6)
 query("ops6_file_sizes")(
     lambda t: opslog.storage_report(
-        files.with_prefix(files.file_listing(t.spark, t.dir, "*.parquet")).select(
-            F.col("prefix").alias("table_name"), F.col("length").alias("stored"), F.col("length").alias("raw")
-        )
+        table_files(t).select(F.col("prefix").alias("table_name"), F.col("length").alias("stored"), F.col("length").alias("raw"))
     )
 )
 
