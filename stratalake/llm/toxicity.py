@@ -30,6 +30,8 @@ MAX_TOKENS = 50_000
 #: Passages with fewer expected in ordinary text are significant.
 EXPECTED = 0.5
 EVIDENCE = 3
+#: Best passages of each document in the fitting sample that the weights of the evidence are fitted on; scoring takes all.
+FITTED_PASSAGES = 100
 #: Lengths of word beginnings that count as tokens of their own, for words that labelled documents do not hold.
 BEGINNINGS = (5, 7)
 #: Scores of tokens that a task keeps at hand.
@@ -190,7 +192,7 @@ def _calibrate(model: ToxicModel, sample: DataFrame, rows: int) -> None:
             for key, body, label in zip(*batch.columns):
                 words = tokens(body.as_py())
                 found = model.passages(words)
-                flat = [float(v) for a, b, s in sorted(found, key=lambda x: -x[2])[:100] for v in (b - a + 1, s)]
+                flat = [float(v) for a, b, s in sorted(found, key=lambda x: -x[2])[:FITTED_PASSAGES] for v in (b - a + 1, s)]
                 out.append((key.as_py(), label.as_py(), len(words), max((s for *_, s in found), default=0.0), flat))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(zip(*out), schema)], schema=schema) if out else pa.RecordBatch.from_pylist([], schema)
 
