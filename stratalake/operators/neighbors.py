@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stratalake.operators.dedup import first_n
 
 #: Corpus rows that a task holds at once, and queries matched with them at once.
-SHARD_ROWS = 32_768
+SHARD_ROWS = 8_192
 QUERY_ROWS = 64
 HITS = "query_id bigint, vec_id bigint, distance double"
 

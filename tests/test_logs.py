@@ -137,7 +137,7 @@ def brute(queries, corpus, k, max_dist, metric="l2"):
     return out
 
 
-@pytest.mark.parametrize("rows", [32_768, 16])
+@pytest.mark.parametrize("rows", [8_192, 16])
 @pytest.mark.parametrize("max_dist", [None, 12.0])
 def test_neighbours_equal_brute_force(spark, monkeypatch, rows, max_dist):
     monkeypatch.setattr(neighbors, "SHARD_ROWS", rows)
