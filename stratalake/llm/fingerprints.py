@@ -164,8 +164,9 @@ def _pairs(batches):
 
 
 def _cuts(keyed: DataFrame, ranges: int) -> list[tuple[int, int]]:
-    """Borders of ranges with about as many rows, from a sample of twenty rows for each range."""
-    drawn = keyed.orderBy(F.xxhash64(F.monotonically_increasing_id())).limit(20 * ranges).collect()
+    """Borders of ranges with about as many rows, from a sample of about twenty rows for each range."""
+    total = keyed.count()
+    drawn = keyed.sample(min(1.0, 20 * ranges / max(1, total)), seed=7).collect() if total else []
     seen = sorted((r.o, r.h) for r in drawn)
     return sorted({seen[k * len(seen) // ranges] for k in range(1, ranges)}) if seen else []
 
