@@ -116,57 +116,69 @@ def emitted(nodes: DataFrame) -> DataFrame:
     Depth-first order is the order of the paths. Nodes are dealt out by ranges of it; a node's place is the sum of the tokens
     before it in its range and in all ranges before. Only these sums, one for each range, reach the driver. Position ids of a
     node's tokens are ``position_start, position_start + 1, ...``.
+
+    Nodes that each follow their parent directly form a chain, whose tokens are one interval. A node attends to the part of its
+    chain before it and to what the chain hangs on; so intervals are worked out for chains, of which there are about as many as
+    leaves, and not for pairs of a node and an ancestor.
     """
     spark = nodes.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    narrow = nodes.select("node", "path", "n_tokens").repartitionByRange(n, "path").sortWithinPartitions("path")
-    schema = pa.schema([("node", pa.string()), ("path", pa.list_(pa.string())), ("n_tokens", pa.int64()), ("part", pa.int32()), ("inside", pa.int64())])
+    narrow = nodes.select("node", "parent", "path", "n_tokens").repartitionByRange(n, "path").sortWithinPartitions("path").drop("path")
+    kinds = "node string, parent string, n_tokens long, part int, inside long, chain string, chain_inside long, link string"
+    schema = pa.schema([(f.split()[0], {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}[f.split()[1]]) for f in kinds.split(", ")])
 
     def place(batches):
         from pyspark import TaskContext
 
-        part, total = TaskContext.get().partitionId(), 0
+        part, total, before, chain = TaskContext.get().partitionId(), 0, None, None
         for batch in batches:
-            starts = []
-            for size in batch.column(2).to_pylist():
-                starts.append(total)
-                total += size
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * len(starts), pa.int32()), pa.array(starts, pa.int64())], schema=schema)
-
-    placed = stored(narrow.mapInArrow(place, "node string, path array<string>, n_tokens long, part int, inside long"), "placed")
+            rows = []
+            for node, parent, size in zip(*(c.to_pylist() for c in batch.columns)):
+                if before is None or parent != before:
+                    chain = (node, total, parent)
+                rows.append((node, parent, size, part, total, *chain))
+                total, before = total + size, node
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    placed = stored(narrow.mapInArrow(place, kinds), "placed")
     sums = placed.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
     starts, total = {}, 0
     for r in sums:
         starts[r.part] = total
         total += r.n
     offset = F.element_at(F.create_map(*[F.lit(v) for kv in starts.items() for v in kv]), F.col("part")) if starts else F.lit(0)
-    intervals = placed.select("node", "path", "n_tokens", (offset + F.col("inside")).cast("long").alias("start"))
-    own = F.struct(F.size("path").alias("depth"), F.col("start"), (F.col("start") + F.col("n_tokens")).alias("end"))
-    # A node near a root has very many descendants; its interval is joined to them, never collected for it.
-    above = intervals.select("node", F.explode("path").alias("ancestor")).filter("node <> ancestor").join(intervals.select(F.col("node").alias("ancestor"), own.alias("i")), "ancestor")
-    above = above.groupBy("node").agg(F.array_sort(F.collect_list("i")).alias("i"))
-    joined = nodes.join(intervals.select("node", F.col("start").alias("stream_start")), "node").join(above, "node", "left")
-    attends = F.transform(F.coalesce("i", F.array().cast("array<struct<depth:int,start:bigint,end:bigint>>")), lambda x: F.struct(x["start"], x["end"]))
-    joined = joined.withColumn("attends", attends)
+    at = lambda c: (offset + F.col(c)).cast("long")
+    places = placed.select("node", "chain", "link", "n_tokens", at("inside").alias("stream_start"), at("chain_inside").alias("chain_start"))
+    # What a chain hangs on: up to and with its link, the chain that holds the link.
+    chains = places.filter("node = chain").select("chain", "link")
+    held = places.select(F.col("node").alias("link"), F.col("chain").alias("up"), F.array(F.struct(F.col("chain_start").alias("start"), (F.col("stream_start") + F.col("n_tokens")).alias("end"))).alias("above"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    hung = stored(chains.join(held, "link", "left").select("chain", "up", F.coalesce("above", none).alias("above")), "chains")
+    # Each round joins a chain to the one it hangs on so far, which doubles the way: rounds are the logarithm of the branchings.
+    while hung.filter("up is not null").limit(1).count():
+        higher = hung.select(F.col("chain").alias("up"), F.col("up").alias("top"), F.col("above").alias("more"))
+        hung = stored(hung.join(higher, "up", "left").select("chain", F.col("top").alias("up"), F.concat(F.coalesce("more", none), "above").alias("above")), "chains")
+    joined = nodes.join(places.select("node", "chain", "stream_start", "chain_start"), "node").join(hung.select("chain", "above"), "chain")
+    own = F.when(F.col("stream_start") > F.col("chain_start"), F.array(F.struct(F.col("chain_start").alias("start"), F.col("stream_start").alias("end")))).otherwise(none)
+    joined = joined.withColumn("attends", F.concat("above", own))
     before = F.aggregate("attends", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
     return joined.select("node", "parent", "depth", "role", "formatted", "learned", "token_ids", "n_tokens", "stream_start", before.alias("position_start"), "attends")
 
 
 def formatted_conversations(conversations: DataFrame, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
-    """The emitted nodes and ``(conv_id, leaf)``, the last node of every conversation."""
+    """The emitted nodes and ``(conv_id, path)``, the nodes of every conversation."""
     paths = stored(histories(conversations), "histories")
     nodes = stored(emitted(stored(prefix_tree(paths, tokenizer), "nodes")), "stream")
-    return nodes, paths.select("conv_id", F.element_at("path", -1).alias("leaf"))
+    return nodes, paths.select("conv_id", "path")
 
 
-def conversations_read_back(nodes: DataFrame, leaves: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+def conversations_read_back(nodes: DataFrame, paths: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """``conv_id`` and the digests of its turns, read from the emitted tokens.
 
-    A leaf's ancestor intervals name the nodes of its conversation by their stream places; their tokens are decoded and parsed.
+    The tokens of a conversation's nodes are put in stream order, decoded and parsed.
     """
-    spans = nodes.select(F.col("node").alias("leaf"), F.concat(F.transform("attends", lambda x: x["start"]), F.array("stream_start")).alias("starts"))
-    parts = leaves.join(spans, "leaf").select("conv_id", F.explode("starts").alias("stream_start"))
-    parts = parts.join(nodes.select("stream_start", "token_ids", "learned"), "stream_start")
+    parts = paths.select("conv_id", F.explode("path").alias("node")).join(nodes.select("node", "stream_start", "token_ids", "learned"), "node")
     whole = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("stream_start", "token_ids", "learned"))).alias("parts"))
     whole = whole.select("conv_id", F.col("parts.token_ids").alias("ids"), F.col("parts.learned").alias("learned"))
     with open(tokenizer, encoding="utf-8") as file:
@@ -195,8 +207,8 @@ def chat_format(conversations: DataFrame, tokenizer: str = TOKENIZER) -> DataFra
 
     Repeated rows are turns of their own; an empty table gives no rows; other columns are not read.
     """
-    nodes, leaves = formatted_conversations(conversations.select("conv_id", "turn", "role", "text"), tokenizer)
-    return conversations_read_back(nodes, leaves, tokenizer)
+    nodes, paths = formatted_conversations(conversations.select("conv_id", "turn", "role", "text"), tokenizer)
+    return conversations_read_back(nodes, paths, tokenizer)
 
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
