@@ -3,7 +3,9 @@
 Base forms are found by patterns whose matches are placed by adding up lengths of matches and gaps. The information-theoretic
 part protects every found value (an entity) against the words of the lines it stands on. Over all lines of the corpus, a word
 ``t`` tells ``PMI(c; t) = ln(N n(c,t) / (n(c) n(t)))`` about entity ``c``, whose own information is ``IC(c) = ln(N / n(c))``.
-A word discloses the entity when ``PMI >= disclosure * IC`` on at least ``support`` lines. It is generalised to its first
+A word discloses the entity when ``PMI >= disclosure * IC``; an entity that stands on one line takes part like any other, as a
+word found only there tells all about it. A single line with both counts when it tells more than one bit (by chance they would meet
+on less than half a line), which rules out coincidences in corpora of a few lines. The word is generalised to its first
 letters if the class of words with these letters stays below the threshold for the same entity, and removed otherwise.
 
 Everything is column expressions. Counts cover all lines of all documents and combine in the map tasks. Only lines with an
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 from stratalake.llm.tables import free_name, stored, table
 
 DISCLOSURE = 0.9
-SUPPORT = 2
+#: Lines that hold both the word and the entity, at least; 1 leaves the decision to the threshold alone.
+SUPPORT = 1
 CLASS_LETTERS = 3
 KINDS = ("email", "ip", "card", "phone")
 #: A match never starts inside a run of its first characters unless the match before ended there, so scans stay linear;
@@ -130,7 +133,8 @@ def disclosing_terms(lines: DataFrame, counts: DataFrame, disclosure: float = DI
     def tells(together: str, alone: str) -> Column:
         return F.log(F.lit(n_lines) * F.col(together) / (F.col("n_c") * F.col(alone))) >= disclosure * F.log(F.lit(n_lines) / F.col("n_c")) - 1e-9
 
-    told = pairs.filter(F.col("n_ct") >= support).join(counts, "term").join(entities.filter(F.col("n_c") < n_lines), "entity").filter(tells("n_ct", "n"))
+    met = (F.col("n_ct") > 1) | (F.col("n_c") * F.col("n") * 2 < n_lines)
+    told = pairs.filter(F.col("n_ct") >= support).join(counts, "term").join(entities.filter(F.col("n_c") < n_lines), "entity").filter(tells("n_ct", "n") & met)
     told = told.select("entity", "term", "n_c", first("term")).join(classes, "class").join(class_pairs, ["entity", "class"])
     wide = ~tells("n_cg", "n_g") & (F.length("term") > 2 * CLASS_LETTERS)
     return told.select("entity", "term", F.when(wide, F.concat("class", F.lit("*"))).otherwise("[TERM]").alias("replacement"))

@@ -127,6 +127,13 @@ def test_overlapping_spans_of_two_kinds_are_replaced_once(documents):
     assert sorted(r.text for r in pii.sanitised(docs).collect()) == ["at [EMAIL] end", "call [PHONE] now"]
 
 
+def test_an_entity_on_one_line_takes_part(documents):
+    docs = documents([(1, "the plain Quillon at solo@x.org"), *[(k, "the plain line") for k in range(2, 40)]])
+    (found,) = pii.personal_data(docs).filter("n_email = 1").collect()
+    assert found.n_term == 2 and found.spans.endswith(",term:10:17,term:18:20")
+    assert [r.text for r in pii.sanitised(docs).collect() if "[EMAIL]" in r.text] == ["the plain [TERM] [TERM] [EMAIL]"]
+
+
 def test_empty_table(documents):
     assert pii.personal_data(documents([])).count() == 0 and pii.sanitised(documents([])).count() == 0
 
