@@ -3,13 +3,16 @@
 A prefix array holds, for every place in a text, the polynomial hash of what comes before it, modulo two primes. The hash of any
 span follows from two entries, so spans of two texts are compared in constant time and their longest common extension is found
 by binary search. A document's fingerprint is its length, the hash of the whole text, and the hashes of its beginnings and
-endings at lengths that grow by a fixed factor. The likeness of two fingerprints is the share of the longer text covered by the
-longest common beginning and ending that they show, each found by binary search.
+endings at lengths that grow by a fixed factor. For what lies inside, it holds the number of distinct spans of ``SPAN`` characters,
+taken at every place, and the ``KEPT`` least of their mixed hashes. The likeness of two fingerprints is the larger of two shares of
+the longer text: the one covered by the longest common beginning and ending that they show, each found by binary search, and the
+one of common spans, estimated from the least hashes and lowered by one standard error (exact where all hashes are kept).
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_right
 
 import numpy as np
@@ -25,6 +28,9 @@ BASES = (1_103_515_245, 1_664_525_013)
 BLOCK = 1 << 16
 #: Factor between the lengths of beginnings and endings in a fingerprint.
 GROWTH = 1.125
+#: Characters of a span inside the text; span hashes that a fingerprint keeps at most.
+SPAN = 24
+KEPT = 128
 #: Hash values of a span: two numbers below 2**31.
 Hash = tuple[int, int]
 
@@ -35,6 +41,10 @@ for _p, _b in zip(PRIMES, BASES):
         _row = np.concatenate((_row, _row * np.uint64(pow(_b, len(_row), _p)) % np.uint64(_p)))
     _POWERS.append(_row)
 _INVERSES = tuple(pow(b, -1, p) for p, b in zip(PRIMES, BASES))
+#: Powers of the first inverse, which move spans to place 0.
+_BACK = np.ones(1, np.uint64)
+while len(_BACK) < BLOCK:
+    _BACK = np.concatenate((_BACK, _BACK * np.uint64(pow(_INVERSES[0], len(_BACK), PRIMES[0])) % np.uint64(PRIMES[0])))
 
 
 def points(text: str) -> np.ndarray:
@@ -64,6 +74,21 @@ class PrefixHash:
         """Hash of a span, the same wherever the span stands."""
         return tuple((int(r[start + length]) - int(r[start])) * pow(v, start, p) % p for r, p, v in zip(self.rows, PRIMES, _INVERSES))
 
+    def inner(self) -> np.ndarray:
+        """Mixed 32-bit hashes of the spans of ``SPAN`` characters at every place, in order."""
+        row, p = self.rows[0], np.uint64(PRIMES[0])
+        out = np.empty(max(0, self.size - SPAN + 1), np.uint32)
+        for at in range(0, len(out), BLOCK):
+            end = min(at + BLOCK, len(out))
+            part = (row[at + SPAN : end + SPAN].astype(np.uint64) + p - row[at:end]) % p * _BACK[: end - at] % p
+            if at:
+                part = part * np.uint64(pow(_INVERSES[0], at, PRIMES[0])) % p
+            part = part * np.uint64(0x9E3779B97F4A7C15)
+            part ^= part >> np.uint64(29)
+            out[at:end] = part * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
+        out.sort()
+        return out
+
     def equal(self, start: int, other: PrefixHash, at: int, length: int) -> bool:
         return self.span(start, length) == other.span(at, length)
 
@@ -87,7 +112,7 @@ def lengths(size: int) -> list[int]:
 
 
 def fingerprint(hashed: PrefixHash) -> str:
-    """``size:whole:beginnings:endings`` in hexadecimal, eight digits for each length."""
+    """``size:whole:beginnings:endings:spans:least`` in hexadecimal, eight digits for each length and each kept span hash."""
     n = hashed.size
     grid = lengths(n)
     whole = "".join(f"{v:08x}" for v in hashed.span(0, n))
@@ -95,7 +120,10 @@ def fingerprint(hashed: PrefixHash) -> str:
     p, v = PRIMES[0], _INVERSES[0]
     total = int(hashed.rows[0][n])
     ends = "".join(f"{(total - int(hashed.rows[0][n - k])) * pow(v, n - k, p) % p:08x}" for k in grid)
-    return f"{n:x}:{whole}:{starts}:{ends}"
+    inner = hashed.inner()
+    new = np.flatnonzero(np.diff(inner, prepend=inner[:1] ^ np.uint32(1)))
+    least = "".join(f"{v:08x}" for v in inner[new[:KEPT]].tolist())
+    return f"{n:x}:{whole}:{starts}:{ends}:{len(new):x}:{least}"
 
 
 def _shared(a: str, b: str, grid: list[int]) -> int:
@@ -108,18 +136,33 @@ def _shared(a: str, b: str, grid: list[int]) -> int:
     return grid[low - 1] if low else 0
 
 
+def _inside(n: int, a: str, m: int, b: str) -> float:
+    """Share of the larger set of spans that both hold, from the sizes and least hashes of two sets; a low estimate."""
+    if not n or not m:
+        return 0.0
+    of_a, of_b = ({x[k : k + 8] for k in range(0, len(x), 8)} for x in (a, b))
+    whole = n <= KEPT and m <= KEPT
+    least = sorted(of_a | of_b)[: None if whole else KEPT]
+    alike = sum(x in of_a and x in of_b for x in least) / len(least)
+    if not whole:
+        alike = max(0.0, alike - math.sqrt(alike * (1 - alike) / len(least)))
+    # Of n + m spans, the share alike / (1 + alike) is common to both.
+    return min(alike / (1 + alike) * (n + m), n, m) / max(n, m)
+
+
 def likeness(a: str, b: str) -> float:
-    """1 for equal fingerprints, else the share of the longer text in common beginning and ending (below 1)."""
+    """1 for equal fingerprints, else the share of the longer text that both have, by ends or by spans (below 1)."""
     if a == b:
         return 1.0
-    (n, _, a_start, a_end), (m, _, b_start, b_end) = a.split(":"), b.split(":")
+    (n, _, a_start, a_end, a_spans, a_least), (m, _, b_start, b_end, b_spans, b_least) = a.split(":"), b.split(":")
     n, m = int(n, 16), int(m, 16)
     if not n or not m:
         return 0.0
     grid = lengths(min(n, m))
     # A text that is the whole beginning of the other has no entry for its full length; the last one below counts.
     both = _shared(a_start, b_start, grid) + _shared(a_end, b_end, grid)
-    return min(both, min(n, m), max(n, m) - 1) / max(n, m)
+    inside = _inside(int(a_spans, 16), a_least, int(b_spans, 16), b_least)
+    return min(max(both / max(n, m), inside), min(n, m) / max(n, m), 1 - 1 / max(n, m))
 
 
 def edited(text: str, following: str) -> str:

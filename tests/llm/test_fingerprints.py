@@ -45,6 +45,34 @@ def test_likeness():
     assert 0 < P.likeness(print_("aaaa"), print_("aaaaa")) < 1
 
 
+def plain_inside(a, b):
+    x, y = ({t[i : i + P.SPAN] for i in range(len(t) - P.SPAN + 1)} for t in (a, b))
+    return len(x & y) / max(len(x), len(y))
+
+
+@pytest.mark.parametrize("count", [20, 1000, 30_000])
+def test_near_copies_with_edits_anywhere(count):
+    rng = random.Random(count)
+    print_ = lambda t: P.fingerprint(P.PrefixHash(t))
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 9))) for _ in range(count)]
+    text, other = " ".join(words), " ".join(rng.sample(words, count))
+    ends = " ".join([words[0], "#", *words[2:-2], "#", words[-1]])
+    framed = f"page 7 of 9\n{text}\nall rights kept"
+    few = " ".join("#" if k % 50 == 25 else w for k, w in enumerate(words))
+    for new in (ends, framed, few):
+        found = P.likeness(print_(text), print_(new))
+        assert found == P.likeness(print_(new), print_(text)) and abs(found - plain_inside(text, new)) < 0.15
+        assert found > 0.7
+    assert P.likeness(print_(text), print_(other)) < 0.1
+
+
+def test_span_hashes_at_every_place(monkeypatch):
+    monkeypatch.setattr(P, "BLOCK", 64)
+    text = LONG[:500]
+    want = {P.PrefixHash(text[i : i + P.SPAN]).inner()[0] for i in range(len(text) - P.SPAN + 1)}
+    assert set(P.PrefixHash(text).inner()) == want and len(P.PrefixHash(text[: P.SPAN - 1]).inner()) == 0
+
+
 def expected(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     out = []
