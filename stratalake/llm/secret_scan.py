@@ -1,6 +1,6 @@
-"""Secret scan: long unbroken strings, and a random forest that removes the false positives among them.
+"""Secret scan: long unbroken strings and what credentials' names assign, and a random forest that removes the false positives.
 
-Candidates are placed with what stands before and after them. Their features are length and kinds of characters, character
+Candidates are runs of 16 and more characters of keys, and values of any length and signs that a credential's name assigns. They are placed with what stands before and after them. Their features are length and kinds of characters, character
 transitions, cover by a dictionary, path-likeness and neighbouring words. The dictionary are the words that many documents of the
 corpus hold; transitions are the mean log-probability of pairs of characters in it, cover is the share of the candidate's
 four-letter pieces that occur in it. The forest is fitted on labelled findings. There is no table of these among the inputs, so
@@ -28,9 +28,21 @@ TREES, DEPTH, SEED = 30, 6, 7
 THRESHOLD = 0.5
 #: Documents that hold a word of the dictionary, at least; characters of the context on either side.
 KNOWN_IN, CONTEXT = 3, 48
-CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{16,}+"
 #: Names that credentials are assigned to, and words beside strings that are no credentials.
-NAMES = r"(?i)\b[a-z0-9_-]*(?:token|secret|passwd|password|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)[a-z0-9_-]*\W{0,3}[:=]\W{0,3}$"
+CREDENTIAL = r"(?:token|secret|passwd|password|passphrase|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth(?!ors?\b))"
+NAMES = rf"(?i)(?:\b[a-z0-9_-]*{CREDENTIAL}[a-z0-9_-]*\W{{0,3}}[:=]\W{{0,3}}(?:(?:bearer|basic|token)[ \t]+)?[\"'`]?|\bbearer[ \t]+)$"
+#: A run; '=' belongs to it as trailing padding only.
+RUN = r"[A-Za-z0-9+/_-]{16,}+(?:={1,2}+(?![A-Za-z0-9+/=_-]))?+"
+#: What a credential's name assigns: to the closing quote, a run, or up to white space, a quote or the next parameter of a URL.
+VALUE = rf"(?<=\")[^\"\n]++(?=\")|(?<=')[^'\n]++(?=')|(?<=`)[^`\n]++(?=`)|(?<!\w){RUN}(?![^\s\"'`&,;.)\]}}>])|[^\s\"'`&]++(?:&(?![A-Za-z0-9_-]++=)[^\s\"'`&]*+)*+"
+ASSIGNED = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{0,128}}?(?i:{CREDENTIAL})[A-Za-z0-9_-]{{0,64}}+[\"'`\])]?[ \t]{{0,3}}[:=]{{1,3}}>?[ \t]{{0,3}}(?:(?i:bearer|basic|token)[ \t]{{1,3}})?+[\"'`]?"
+#: Groups: the name and what assigns, the assigned value, or a run elsewhere.
+CANDIDATE = rf"({ASSIGNED})({VALUE})|(?<![A-Za-z0-9+/_-])({RUN})"
+#: Signs that close a sentence or bracket and not an assigned value without quotes.
+CLOSING = r"[.,;:()\[\]{}<>]+$"
+#: Published forms of keys, and the inner lines of a PEM body.
+FORMATS = r"^(?:gh[pousr]_[A-Za-z0-9]{30,}|github_pat_\w{30,}|(?:AKIA|ASIA)[A-Z0-9]{16}|xox[abprs]-[A-Za-z0-9-]{20,}|[sr]k_live_[A-Za-z0-9]{16,}|glpat-[\w-]{20,}|AIza[\w-]{35})$"
+PEM = r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9+/]{64}$"
 HARMLESS = r"(?i)\b(?:example|sample|dummy|placeholder|test|sha1|sha256|md5|checksum|commit|digest|uuid)\b"
 FEATURES = (
     "chars", "digits", "upper", "symbols", "kinds", "hexadecimal", "distinct", "transitions", "cover", "slashes", "after_path", "named", "quoted",
@@ -43,16 +55,24 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """``(doc_id, start, end, value, before, after)`` of every candidate, in code points, end exclusive."""
     body = F.col("text")
     gaps = F.split(body, CANDIDATE, -1)
-    pairs = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("value"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("next"))
+    group = lambda k, name: F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(k)).alias(name)
+    pairs = F.arrays_zip(gaps.alias("gap"), group(0, "whole"), group(1, "name"), group(2, "held"), group(3, "run"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("next"))
 
     def step(state, x):
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["value"]), F.lit(0))
-        one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"), F.right(x["gap"], F.lit(CONTEXT)).alias("before"), F.left(x["next"], F.lit(CONTEXT)).alias("after"))
-        more = F.when(x["value"].isNotNull(), F.concat(state["found"], F.array(one).cast(FOUND))).otherwise(state["found"])
-        return F.struct(end.alias("at"), more.alias("found"))
-
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("found")), step, lambda s: s["found"])
+        lead = F.concat(x["gap"], F.coalesce(x["name"], F.lit("")))
+        start = state["at"] + F.length(lead)
+        loose = F.regexp_replace(x["held"], CLOSING, "")
+        value = F.when(x["run"] != "", x["run"]).when(x["name"].rlike("[\"'`]$"), x["held"]).otherwise(loose)
+        # The context goes on over candidates before, so that a name among them is seen.
+        before = F.right(F.concat(state["tail"], F.right(lead, F.lit(CONTEXT))), F.lit(CONTEXT))
+        rest = F.substr(F.concat(x["held"], x["run"]), F.length(value) + 1, F.lit(CONTEXT))
+        one = F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), before.alias("before"), F.left(F.concat(rest, F.coalesce(x["next"], F.lit(""))), F.lit(CONTEXT)).alias("after"))
+        more = F.when(F.length(value) > 0, F.concat(state["found"], F.array(one).cast(FOUND))).otherwise(state["found"])
+        end = state["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["whole"]), F.lit(0))
+        tail = F.right(F.concat(state["tail"], F.right(x["gap"], F.lit(CONTEXT)), F.coalesce(F.right(x["whole"], F.lit(CONTEXT)), F.lit(""))), F.lit(CONTEXT))
+        return F.struct(end.alias("at"), tail.alias("tail"), more.alias("found"))
+
+    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(FOUND).alias("found")), step, lambda s: s["found"])
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(body.rlike(CANDIDATE))
     return narrow.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*")
 

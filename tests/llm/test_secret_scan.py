@@ -39,6 +39,21 @@ def test_candidates_are_placed(docs):
     assert all(r.before == by[r.doc_id][max(0, r.start - S.CONTEXT) : r.start][-len(r.before) or r.start :] and by[r.doc_id][r.end :].startswith(r.after) for r in got)
 
 
+def test_assigned_values_leave_the_name_outside(documents):
+    long = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"
+    texts = {
+        f"API_KEY={long} end": long, f"get /x?access_token={long}&page=2": long, 'password = "Tr0ub4dor&3!"': "Tr0ub4dor&3!", "password: hunter2secret.": "hunter2secret",
+        f"AWS_SECRET_ACCESS_KEY={long}": long, f"Authorization: Bearer {long}": long, '{"passwd": "a b,c"}': "a b,c", "config/of/the/database/password=x1;": "x1",
+        f"key {long}== end": long + "==", "PASSWORD=\"open": None, "the author: Smith": None,
+    }
+    got = {r.doc_id: r for r in S.candidates(documents(list(enumerate(texts)))).collect()}
+    for k, (text, value) in enumerate(texts.items()):
+        assert (got[k].value if k in got and value else value) == value, text
+        if value:
+            assert text[got[k].start : got[k].end] == value and text[: got[k].start].endswith(got[k].before) and text[got[k].end :].startswith(got[k].after)
+            assert bool(re.search(S.NAMES, got[k].before)) == (not text.startswith("key")), text
+
+
 def test_pieces_and_cover_against_brute_force(docs):
     known = {r.word: r.n for r in S.dictionary(docs).collect()}
     lower = [set(re.findall(r"[^\W\d_]+", (r.text or "").lower())) for r in docs.select("text").collect()]
