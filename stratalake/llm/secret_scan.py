@@ -5,7 +5,9 @@ transitions, cover by a dictionary, path-likeness and neighbouring words. The di
 corpus hold; transitions are the mean log-probability of pairs of characters in it, cover is the share of the candidate's
 four-letter pieces that occur in it. The forest is fitted on labelled findings. There is no table of these among the inputs, so
 ``rule_labels`` marks the clear cases of the corpus itself: strings of letters and digits that a credential's name assigns are
-secrets; strings of letters alone that no name assigns, and numbers, are not. The forest decides on all candidates.
+secrets, as are published forms of keys and PEM lines; strings of letters alone that no name assigns, numbers, UUIDs and hashes
+said to be some are not. Made findings add the hard cases (``made_findings``), part of them without the features that the rules
+label by. The forest decides on all candidates.
 
 Everything is DataFrame operations.
 """
@@ -13,6 +15,7 @@ Everything is DataFrame operations.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -42,6 +45,10 @@ CANDIDATE = rf"({ASSIGNED})({VALUE})|(?<![A-Za-z0-9+/_-])({RUN})"
 CLOSING = r"[.,;:()\[\]{}<>]+$"
 #: Published forms of keys, and the inner lines of a PEM body.
 FORMATS = r"^(?:gh[pousr]_[A-Za-z0-9]{30,}|github_pat_\w{30,}|(?:AKIA|ASIA)[A-Z0-9]{16}|xox[abprs]-[A-Za-z0-9-]{20,}|[sr]k_live_[A-Za-z0-9]{16,}|glpat-[\w-]{20,}|AIza[\w-]{35})$"
+HASH = r"^(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{64})$"
+UUID = r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
+#: Findings made of every sort of hard case.
+MADE = 300
 PEM = r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9+/]{64}$"
 HARMLESS = r"(?i)\b(?:example|sample|dummy|placeholder|test|sha1|sha256|md5|checksum|commit|digest|uuid)\b"
 FEATURES = (
@@ -124,16 +131,56 @@ def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
 def rule_labels(found: DataFrame) -> DataFrame:
     """Candidates that are clear by rule, with ``label`` 1.0 (secret) or 0.0."""
     mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
-    secret = (F.col("named") == 1) & mixed & (F.col("harmless") == 0)
-    not_secret = (F.col("assigned") == 0) & ~mixed
+    line = F.col("before").rlike(r"(?:^|\n)$") & F.col("after").rlike(r"^(?:\n|$)")
+    plain = F.col("harmless") == 0
+    secret = ((F.col("named") == 1) & mixed & plain) | (F.col("value").rlike(FORMATS) & plain) | (F.col("value").rlike(PEM) & line)
+    not_secret = ((F.col("assigned") == 0) & ~mixed) | ((F.col("harmless") == 1) & (F.col("named") == 0) & F.col("value").rlike(HASH)) | F.col("value").rlike(UUID)
     return found.withColumn("label", F.when(secret, 1.0).when(not_secret, 0.0)).filter("label is not null")
 
 
+def made_findings(spark: SparkSession, each: int = MADE) -> DataFrame:
+    """``(value, before, after, label)`` of hard cases, ``each`` of every sort, the same in every run: secrets that no name assigns or
+    that are short, and strings of letters and digits that are none."""
+    digest = lambda bits, salt: F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), bits)
+    mixed = lambda n, salt: F.left(F.translate(F.base64(F.unhex(F.concat(digest(512, salt), digest(512, salt + "+")))), "+/=", "xYZ"), F.lit(n))
+    base64 = lambda n, salt: F.left(F.base64(F.unhex(F.concat(digest(512, salt), digest(512, salt + "+")))), F.lit(n))
+    hexes = lambda n, salt: F.left(digest(512, salt), F.lit(n))
+    pick = lambda *words: F.element_at(F.array(*map(F.lit, words)), (F.pmod(F.xxhash64("id", F.lit(words[0])), F.lit(len(words))) + 1).cast("int"))
+    uuid = F.concat_ws("-", *[F.substr(digest(256, "uuid"), F.lit(at), F.lit(n)) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    names = pick("src", "lib", "data", "images", "version", "release", "build", "assets")
+    path = F.concat_ws("/", pick("usr", "var", "home", "opt"), names, F.concat(pick("local", "python", "chapter", "report"), hexes(1, "p")), F.concat(pick("index", "figure", "model", "notes"), F.pmod("id", F.lit(97))))
+    prose, after = pick("see ", "use ", "the old one was ", "in ", "\n", "(", "with "), pick(" and ", " ", "\n", ". The", ")")
+    sorts = [
+        (1.0, F.concat(pick("ghp_", "gho_", "ghs_"), mixed(36, "gh")), prose, after),
+        (1.0, F.concat(F.lit("AKIA"), F.upper(mixed(16, "aws"))), prose, after),
+        (1.0, F.concat(pick("sk_live_", "xoxb-", "glpat-"), mixed(24, "live")), prose, after),
+        (1.0, base64(64, "pem"), pick("\n", "-----BEGIN RSA PRIVATE KEY-----\n", "-----BEGIN PRIVATE KEY-----\n"), F.lit("\n")),
+        (1.0, F.when(F.pmod("id", F.lit(2)) == 0, mixed(40, "bearer")).otherwise(hexes(40, "bearer")), pick("Authorization: Bearer ", "-H 'Authorization: Bearer ", "bearer "), pick("", "\n", "'")),
+        (1.0, F.when(F.pmod("id", F.lit(2)) == 0, mixed(32, "env")).otherwise(hexes(32, "env")), pick("API_KEY=", "\nSECRET_TOKEN=", "get /x?access_token="), pick("", "\n", "&page=2", " ")),
+        (1.0, F.concat(mixed(5, "pass"), pick("!", "&", "#", "", "$"), mixed(6, "word")), pick('password = "', "password: ", "passwd=", "password='"), pick('"', "\n", " ", "'")),
+        (0.0, hexes(40, "commit"), F.concat(prose, pick("commit ", "fixed in commit ", "sha1 ", "")), after),
+        (0.0, F.when(F.pmod("id", F.lit(2)) == 0, hexes(32, "md5")).otherwise(hexes(64, "sha")), F.concat(prose, pick("md5 ", "checksum: ", "sha256: ", "digest=")), after),
+        (0.0, uuid, pick("id ", "uuid: ", "see ", "request "), after),
+        (0.0, path, pick("/", "see ", "in ", "file "), pick(".py", ".png ", " ", "\n")),
+        (0.0, pick("none", "required", "yes", "expired", "changed", "missing", "string", "unknown"), pick("password: ", "token = ", "auth: ", "secret="), pick("\n", " ", "")),
+    ]
+    made = [spark.range(each, numPartitions=1).select(v.alias("value"), b.alias("before"), a.alias("after"), F.lit(label).alias("label")) for label, v, b, a in sorts]
+    return reduce(DataFrame.unionAll, made)
+
+
+def masked(labelled: DataFrame) -> DataFrame:
+    """Every fourth secret that is not hexadecimal loses what the rules label by, so that its shape decides; hexadecimal strings look
+    like hashes without it and keep it."""
+    hidden = (F.col("label") == 1) & (F.col("hexadecimal") == 0) & (F.pmod(F.xxhash64("value", F.lit("masked")), F.lit(4)) == 0)
+    return labelled.withColumns({c: F.when(hidden, 0.0).otherwise(F.col(c)) for c in ("named", "quoted", "assigned")})
+
+
 def secret_findings(docs: DataFrame, findings: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", rows: int = MAX_LABELLED) -> DataFrame:
     """Every candidate: ``doc_id, start, end, value_sha256, score, is_secret``; values themselves are not passed on.
 
-    ``findings``: labelled findings ``(value, before, after, label)``; without them the rules label the corpus's own. Where one of
-    the two labels is missing, the score is the smoothed share of secrets among the labelled. Null and empty texts have no
+    ``findings``: labelled findings ``(value, before, after, label)``; without them the rules label the corpus's own
+    and made ones are added. Where one of
+    the two labels is missing, the score is the smoothed share of secrets among the labelled of the corpus. Null and empty texts have no
     candidates. Repeated rows each give their candidates.
     """
     known = stored(dictionary(docs, text), "dictionary")
@@ -150,6 +197,9 @@ def secret_findings(docs: DataFrame, findings: DataFrame | None = None, doc_id:
         share = (counts.get(1.0, 0) + 1) / (sum(counts.values()) + 2)
         scored = found.withColumn("score", F.lit(share))
     else:
+        if findings is None:
+            hard = masked(with_features(made_findings(docs.sparkSession), known)).select("label", *FEATURES)
+            sample = stored(sample.union(hard), "training_findings")
         forest = RandomForestClassifier(featuresCol="_features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
         model = forest.fit(made.transform(sample.coalesce(1).sortWithinPartitions(*FEATURES, "label")))
         scored = model.transform(made.transform(found)).withColumn("score", vector_to_array("probability")[1])

@@ -80,6 +80,25 @@ def test_forest_keeps_secrets_and_drops_words(docs):
     assert digest[None, 8] == hashlib.sha256(b"A9f3kL0qZ7xW2mB5vN8c").hexdigest()
 
 
+def test_unnamed_secrets_and_hard_negatives(documents):
+    import base64
+
+    def shapes(k):
+        rng = random.Random(1000 + k)
+        pick = lambda n, of="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789": "".join(rng.choice(of) for _ in range(n))
+        hexes = lambda n: pick(n, "0123456789abcdef")
+        secret = [f"we used ghp_{pick(36)} once", f"key id AKIA{pick(16, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')} here", f"Authorization: Bearer {pick(40)}", f"x\n{base64.b64encode(rng.randbytes(48)).decode()}\ny", f"API_KEY={hexes(32)}", f"get ?access_token={hexes(40)} ok"]
+        other = [f"fixed in commit {hexes(40)} today", f"row {hexes(8)}-{hexes(4)}-{hexes(4)}-{hexes(4)}-{hexes(12)} there", f"at usr/lib/python{k}/index{k}/notes here"]
+        return [(1, t) for t in secret] + [(0, t) for t in other]
+
+    made = [x for k in range(20) for x in shapes(k)]
+    got = S.secret_findings(documents([(i, body(i)) for i in range(200)] + [(1000 + i, t) for i, (_, t) in enumerate(made)])).collect()
+    found = {r.doc_id for r in got if r.is_secret}
+    for sort in range(9):
+        hits = sum(1000 + i in found for i in range(sort, len(made), 9))
+        assert hits >= 18 if sort < 6 else hits <= 2, (sort, hits)
+
+
 def test_given_findings_decide(docs, llm):
     rows = [("ab12" * 6 + f"{k:04d}", "key: ", "", 0.0) for k in range(40)] + [("prement" * 4 + "ab" * k, "word ", "", 1.0) for k in range(40)]
     findings = llm.createDataFrame(rows, "value string, before string, after string, label double")
