@@ -184,7 +184,8 @@ def secret_findings(docs: DataFrame, findings: DataFrame | None = None, doc_id:
     candidates. Repeated rows each give their candidates.
     """
     known = stored(dictionary(docs, text), "dictionary")
-    found = stored(with_features(candidates(docs, doc_id, text), known), "candidates")
+    # Stored before the features are joined, so that texts are searched once.
+    found = stored(with_features(stored(candidates(docs, doc_id, text), "placed"), known), "candidates")
     labelled = rule_labels(found) if findings is None else with_features(findings, known)
     # Equal findings are one, so that copies do not fill the sample.
     keyed = labelled.groupBy("value", "before", "label").agg(*[F.first(c).alias(c) for c in FEATURES])
