@@ -70,13 +70,14 @@ REQUIRED = ["customer", "orders", "part", "supplier", "shipments"]
 
 
 def table_files(t) -> DataFrame:
-    """The files that hold rows of the given tables, as the rows themselves tell; a table is a prefix."""
-    parts = []
-    for name in ("customer", "orders", "part", "supplier", "lineitem", "events"):
-        rows = t.table(name).select("_metadata")
-        file = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"), F.col("_metadata.file_modification_time").alias("modificationTime")
-        parts.append(rows.select(F.lit(name).alias("prefix"), *file).distinct())
-    return union_all(parts)
+    """Every file below the input folder, also one without rows, with the number of rows read from it; a table is a prefix."""
+    place = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    listing = files.file_listing(t.spark, t.dir).withColumn("path", place("path")).withColumn("prefix", F.regexp_extract("path", r"([^/]+)\.parquet(?:/.*)?$", 1))
+    names = sorted(r.prefix for r in listing.select("prefix").distinct().collect() if r.prefix)
+    counts = [t.spark.read.parquet(f"{t.dir}/{n}.parquet").select(place("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("rows")) for n in names]
+    if not counts:
+        return listing.withColumn("rows", F.lit(0).cast("long"))
+    return listing.join(union_all(counts), "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
 
 
 query(
@@ -90,7 +91,8 @@ def _src18(t):
     """Ages are counted from the newest file."""
     listing = table_files(t)
     newest = listing.agg(F.max("modificationTime").alias("newest")).scalar()
-    return files.file_inventory(listing, newest)
+    rows = listing.groupBy("prefix").agg(F.sum("rows").alias("rows"))
+    return files.file_inventory(listing, newest).join(rows, "prefix")
 
 
 query("src18_file_inventory")(_src18)

@@ -238,3 +238,16 @@ def test_jdbc_reads_are_split_by_bounds():
     options = source.options("saas_users", jdbc.Bounds("id", 0, 1000, 8))
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "8" and options["fetchsize"] == "10000"
     assert "partitionColumn" not in source.options("(SELECT 1) t")
+
+
+def test_inventory_has_every_table_and_empty_files(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from stratalake.queries import flows
+
+    spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(0).coalesce(1).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    t = SimpleNamespace(spark=spark, dir=str(tmp_path))
+    assert sorted((r.prefix, r.rows) for r in flows.table_files(t).collect()) == [("orders", 0), ("orders", 5), ("pages", 3)]
+    assert sorted((r.prefix, r.files, r.rows) for r in flows._src18(t).collect()) == [("orders", 2, 5), ("pages", 1, 3)]
