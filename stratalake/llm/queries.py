@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import chat, decontamination, fingerprints, hard_negatives, mixing, pii, quality, secret_scan, simhash, token_counts, toxicity
+from stratalake.llm import chat, decontamination, fingerprints, hard_negatives, mixing, pii, quality, secret_scan, simhash, spelling, token_counts, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_secret_scan": secret_scan.op10_secret_scan,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op8_benchmark_decontamination": decontamination.ORACLE,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_hard_negatives": hard_negatives.ORACLE,
 }
