@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import chat, decontamination, fingerprints, hard_negatives, mixing, pii, quality, secret_scan, simhash, spelling, token_counts, toxicity
+from stratalake.llm import chat, decontamination, fingerprints, hard_negatives, markov, mixing, pii, quality, secret_scan, simhash, spelling, token_counts, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_secret_scan": secret_scan.op10_secret_scan,
     "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_language_model": markov.op13_language_model,
 }
 ORACLES: dict[str, str] = {
     "op8_benchmark_decontamination": decontamination.ORACLE,

@@ -27,7 +27,7 @@ LETTERS = r"A-Za-zÀ-ÿ"
 LOSS = 31
 SHORTEST, LEAST, TIMES = 7, 2, 10
 #: Indexed words in a task on average, and at most for one half; queries searched at once.
-SHARD, CELL, QUERIES = 200_000, 50_000, 20_000
+SHARD, CELL, QUERIES = 50_000, 50_000, 20_000
 #: Intervals up to this width are extended row by row, wider ones symbol by symbol.
 NARROW = 64
 #: Doublings of the way to the root. Counts grow at least ``times``-fold along it, so no way has 64 steps.
