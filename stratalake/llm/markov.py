@@ -7,8 +7,8 @@ joined from the counts by the word.
 
 Baum-Welch: every pass sends the model to all partitions of the encoded learning texts, each partition returns the expected counts of
 its texts (scaled forward and backward recursions), the sums are the next model. The score of a text is the exact probability of its
-words and its end, by the scaled forward recursion. Texts are worked off side by side, one place at a time; only the forward
-values of a section of places are held, so a text may be of any length.
+words and its end, by the scaled forward recursion. Texts are worked off side by side, one place at a time; the forward values
+of a bounded number of places are held and the others worked out again, so a text may be of any length.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ STATES, PASSES, FREQUENT, LONGEST, RARE = 8, 6, 32_768, 64, 256
 #: Share of staying in a state at the start, tokens that the prior of a state's words and of its next states counts for.
 STAY, PRIOR, NEXT = 0.9, 50.0, 1.0
 SEED = 13
-#: Tokens of texts worked off side by side, tokens whose forward values are held, bytes of text between two parts of a task's word counts.
-CHUNK, SECTION, COUNTED = 1 << 22, 1 << 19, 1 << 25
+#: Tokens of texts worked off side by side, of a section, and those at the texts' beginnings whose forward values are held; bytes of
+#: text between two parts of a task's word counts.
+CHUNK, SECTION, HELD, COUNTED = 1 << 22, 1 << 19, 1 << 21, 1 << 25
 #: Words a task remembers.
 REMEMBERED = 500_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -155,14 +156,21 @@ class Model:
 
     def expected(self, lanes: Lanes) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         """Expected first states, moves and emissions of the texts, and their log-probability."""
-        sections, borders, before = lanes.sections(), [], None
-        for first, last in sections[:-1]:
-            borders.append(before)
-            before = self.forward(lanes, first, last, before)[3].copy()
-        borders.append(before)
+        sections, parts, before = lanes.sections(), [], None
+        for first, last in sections:
+            border = before
+            _, values, scales, before = self.forward(lanes, first, last, border)
+            if lanes.starts[last] > HELD:  # worked out again on the way back
+                values = scales = None
+                before = before.copy()
+            parts.append((first, last, border, values, scales))
         moved, emitted_sum, later, total = np.zeros_like(self.move), np.zeros_like(self.emit), None, 0.0
-        for (first, last), before in zip(sections[::-1], borders[::-1]):
-            emitted, values, scales, _ = self.forward(lanes, first, last, before)
+        while parts:
+            first, last, border, values, scales = parts.pop()
+            if values is None:
+                emitted, values, scales, _ = self.forward(lanes, first, last, border)
+            else:
+                emitted = self.emit[lanes.codes[lanes.starts[first] : lanes.starts[last]]]
             total += np.log(scales).sum()
             ratio = emitted / scales[:, None]
             backward = np.ones_like(values)
@@ -280,16 +288,20 @@ def count(docs: DataFrame, frequent: int = FREQUENT, rare: int = RARE, text: str
 def encoded(docs: DataFrame, classes: Classes, doc_id: str, text: str, held: Column) -> DataFrame:
     """``key, doc_id, held_out, codes, others``: classes of the words, and the words that share classes with their numbers."""
     narrow = docs.select(F.monotonically_increasing_id().alias("key"), F.col(doc_id).alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
-    others = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
 
     def run(batches):
         for batch in batches:
-            codes, rest = [], []
+            codes, rest, times, ends = [], [], [], [0]
             for body in batch.column(3):
                 found, shared = classes.encode(words(body.as_py()))
                 codes.append(found.tobytes())
-                rest.append([{"word": w.decode("utf-8", "surrogatepass"), "n": n} for w, n in Counter(shared).items()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary()), pa.array(rest, others)], names=["key", "doc_id", "held_out", "codes", "others"])
+                counted = Counter(shared)
+                rest.extend(counted)
+                times.extend(counted.values())
+                ends.append(len(rest))
+            pairs = pa.StructArray.from_arrays([pa.array(rest, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], ["word", "n"])
+            others = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary()), others], names=["key", "doc_id", "held_out", "codes", "others"])
 
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, codes binary, others array<struct<word:string,n:long>>")

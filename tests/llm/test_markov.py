@@ -50,9 +50,10 @@ def by_paths(model, text):
     return total, first / total, moved / total, emitted / total
 
 
-@pytest.mark.parametrize("section", [1, 5, 1 << 19])
-def test_recursions_are_sums_over_all_paths(section, monkeypatch):
+@pytest.mark.parametrize("section, held", [(1, 1 << 21), (5, 12), (5, 0), (1 << 19, 1 << 21)])
+def test_recursions_are_sums_over_all_paths(section, held, monkeypatch):
     monkeypatch.setattr(markov, "SECTION", section)
+    monkeypatch.setattr(markov, "HELD", held)
     rng, model = np.random.default_rng(1), random_model(4, 3)
     texts = [rng.integers(0, 4, n).astype("<u2") for n in (3, 1, 7, 5, 7, 1, 2)]
     lanes = Lanes.of(texts)
@@ -66,6 +67,7 @@ def test_recursions_are_sums_over_all_paths(section, monkeypatch):
 
 def test_a_very_long_text_takes_bounded_sections(monkeypatch):
     monkeypatch.setattr(markov, "SECTION", 1000)
+    monkeypatch.setattr(markov, "HELD", 5000)
     text = np.random.default_rng(2).integers(0, 4, 60_000).astype("<u2")
     model = random_model(4, 3)
     lanes = Lanes.of([text, text[:10]])
