@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,13 +42,3 @@ def free_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish = "_" + wish
     return wish
-
-
-def by_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Turn a function of one Arrow batch into what ``mapInArrow`` takes."""
-
-    def run(batches):
-        for batch in batches:
-            yield function(batch)
-
-    return run

@@ -1,10 +1,11 @@
 """Toxicity: significant high-scoring passages of token log-odds.
 
 The log-odds of a token between toxic and clean labelled documents use an informative Dirichlet prior, the sample's own token
-frequencies, and are lowered by a multiple of their standard error, so that rare tokens say little. Less a drift they are the
-scores of a walk that falls on ordinary text, and a linear-time scan finds all maximal-scoring passages. Extreme-value theory
-tells how often ordinary text of the document's length has a passage of such a score (``E = K n exp(-lambda S)``); the
-significant passages are summed up as evidence, which is calibrated to a probability.
+frequencies with the weight of the smaller class, and are lowered by a multiple of their standard error, so that rare tokens say
+little. Less a drift they are the scores of a walk that falls on ordinary text, and a linear-time scan finds all maximal-scoring
+passages. Extreme-value theory tells how often ordinary text of the document's length has a passage of such a score
+(``E = K n exp(-lambda S)``), and how likely it has several passages whose scores add up to such a sum; the least likely number of
+passages is the document's evidence, which does not grow with its length alone. It is calibrated to a probability.
 """
 
 from __future__ import annotations
@@ -23,15 +24,15 @@ from stratalake.llm.tables import free_name, table
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-#: Weight of the prior in documents' tokens, standard errors taken off, fall of the walk per token.
-PRIOR, ERRORS, DRIFT = 1000.0, 1.96, 0.4
-#: Tokens the model keeps at most: the most certain ones.
-MAX_TOKENS = 50_000
+#: Standard errors taken off (there are very many tokens), fall of the walk per token.
+ERRORS, DRIFT = 2.5, 0.4
 #: Passages with fewer expected in ordinary text are significant.
 EXPECTED = 0.5
 EVIDENCE = 3
-#: Best passages of each document in the fitting sample that the weights of the evidence are fitted on; scoring takes all.
-FITTED_PASSAGES = 100
+#: Evidence beyond this adds nothing.
+FULL = 30.0
+#: Shares of clean documents whose best passage the scale of the extreme-value law is read from; the most cautious one counts.
+QUANTILES = (0.1, 0.25, 0.5)
 #: Lengths of word beginnings that count as tokens of their own, for words that labelled documents do not hold.
 BEGINNINGS = (5, 7)
 #: Scores of tokens that a task keeps at hand.
@@ -91,6 +92,21 @@ def passages(places: list[int], scores: list[float], drift: float) -> list[tuple
     return [(a, b, high - low) for a, b, low, high, _ in open_]
 
 
+def sum_evidence(normal: np.ndarray) -> float:
+    """The largest ``-log P`` of ordinary text having ``r`` passages of such a sum of normalised scores, over all ``r``.
+
+    ``P = exp(-T) T^(r-1) / (r! (r-1)!)`` for the sum ``T`` of the ``r`` best; trying several ``r`` costs a factor of two for each more.
+    Only passages of a positive normalised score can help.
+    """
+    best = np.sort(normal[normal > 0])[::-1]
+    if not len(best):
+        return 0.0
+    r, total = np.arange(1, len(best) + 1), np.cumsum(best)
+    factorials = np.cumsum(np.log(r))
+    before = np.concatenate(([0.0], factorials[:-1]))
+    return float((total - (r - 1) * np.log(total) + factorials + before - r * math.log(2)).max())
+
+
 @dataclass
 class ToxicModel:
     scores: dict[str, float] = field(default_factory=dict)
@@ -113,13 +129,15 @@ class ToxicModel:
         return passages([k for k, _ in found], [s for _, s in found], DRIFT) if found else []
 
     def evidence(self, words: list[str]) -> list[float]:
-        """Of the passages expected less than ``EXPECTED`` times: best and summed evidence, and their share of the tokens."""
+        """Evidence of the passages together, its logarithm, and the share of significant passages among the tokens."""
         n = len(words)
-        found = [(b - a + 1, -math.log(max(self.scale * n, 1e-300)) + self.rate * s) for a, b, s in self.passages(words)]
-        found = [(length, e) for length, e in found if e > -math.log(EXPECTED)]
+        found = self.passages(words)
         if not found:
             return [0.0] * EVIDENCE
-        return [min(20.0, max(e for _, e in found)), math.log1p(sum(e for _, e in found)), sum(length for length, _ in found) / n]
+        offset = -math.log(self.scale * n)
+        together = min(FULL, max(0.0, sum_evidence(offset + self.rate * np.array([s for *_, s in found]))))
+        covered = sum(b - a + 1 for a, b, s in found if offset + self.rate * s > -math.log(EXPECTED))
+        return [together, math.log1p(together), covered / n]
 
     def score(self, x: np.ndarray) -> np.ndarray:
         z = self.weights[0] + x.reshape(-1, EVIDENCE) @ self.weights[1:]
@@ -171,47 +189,49 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     total = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     if total[0] and total[1]:
         n1, n0 = total
-        prior = PRIOR * (F.col("toxic") + F.col("clean")) / (n1 + n0)
-        odds = lambda y, n: F.log((y + prior) / (n + PRIOR - y - prior))
+        weight = min(n1, n0)
+        prior = weight * (F.col("toxic") + F.col("clean")) / (n1 + n0)
+        odds = lambda y, n: F.log((y + prior) / (n + weight - y - prior))
         error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-        scored = counts.withColumn("delta", odds(F.col("toxic"), n1) - odds(F.col("clean"), n0)).withColumn("s", F.col("delta") - ERRORS * error)
-        kept = scored.filter(F.col("s") > 0).orderBy(F.desc(F.col("delta") / error), "token").limit(MAX_TOKENS).select("token", "s", ((F.col("clean") + prior) / (n0 + PRIOR)).alias("share")).toPandas()
+        scored = counts.withColumn("s", odds(F.col("toxic"), n1) - odds(F.col("clean"), n0) - ERRORS * error)
+        kept = scored.filter(F.col("s") > 0).select("token", "s", ((F.col("clean") + 0.5) / (n0 + 1)).alias("share")).toPandas()
         model.scores.update(zip(kept["token"], kept["s"]))
         model.rate = _fall_rate(kept["s"].to_numpy(float), kept["share"].to_numpy(float))
     _calibrate(model, sample, rows)
     return model
 
 
-def _calibrate(model: ToxicModel, sample: DataFrame, rows: int) -> None:
-    """K from the best passages of clean documents, then the weights of the evidence."""
-    schema = pa.schema([("key", pa.int64()), ("label", pa.int32()), ("n", pa.int64()), ("best", pa.float64()), ("spans", pa.list_(pa.float64()))])
+def _of_sample(sample: DataFrame, rows: int, values, names: list[str]):
+    """What ``values`` gives for the words of each text of the sample; its order does not depend on the partitions."""
+    schema = pa.schema([("key", pa.int64()), ("label", pa.int32())] + [(n, pa.float64()) for n in names])
 
     def run(batches):
         for batch in batches:
-            out = []
-            for key, body, label in zip(*batch.columns):
-                words = tokens(body.as_py())
-                found = model.passages(words)
-                flat = [float(v) for a, b, s in sorted(found, key=lambda x: -x[2])[:FITTED_PASSAGES] for v in (b - a + 1, s)]
-                out.append((key.as_py(), label.as_py(), len(words), max((s for *_, s in found), default=0.0), flat))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(zip(*out), schema)], schema=schema) if out else pa.RecordBatch.from_pylist([], schema)
+            found = [values(tokens(body.as_py())) for body in batch.column(1)]
+            columns = [pa.array([v[k] for v in found], pa.float64()) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], schema=schema)
+
+    narrow = sample.select(F.xxhash64("id").alias("key"), "text", "label")
+    found = narrow.mapInArrow(run, ", ".join(["key long, label int", *(f"{n} double" for n in names)]))
+    return found.orderBy("key", "label", *names).limit(rows).toPandas()
 
-    seen = sample.mapInArrow(run, "key long, label int, n long, best double, spans array<double>").orderBy(F.xxhash64("key"), "key", "label", "n", "best").limit(rows).toPandas()
+
+def _calibrate(model: ToxicModel, sample: DataFrame, rows: int) -> None:
+    """K from the best passages of clean documents, then the weights of the evidence."""
+    best = lambda words: (len(words), max((s for *_, s in model.passages(words)), default=0.0))
+    seen = _of_sample(sample, rows, best, ["n", "best"])
     y = seen["label"].to_numpy(float)
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 1) / (len(y) + 2)
         model.weights = np.array([math.log(share / (1 - share))] + [0.0] * EVIDENCE)
         return
     clean = seen[seen["label"] == 0]
-    # The median is not moved by toxic documents among those labelled clean.
-    middle = np.median(clean["n"].clip(lower=1) * np.exp(-model.rate * clean["best"]))
-    model.scale = min(1.0, math.log(2) / max(middle, 1e-9))
-    x = []
-    for n, flat in zip(seen["n"], seen["spans"]):
-        found = [(flat[k], -math.log(max(model.scale * n, 1e-300)) + model.rate * flat[k + 1]) for k in range(0, len(flat), 2)]
-        found = [(length, e) for length, e in found if e > -math.log(EXPECTED)]
-        x.append([min(20.0, max(e for _, e in found)), math.log1p(sum(e for _, e in found)), sum(length for length, _ in found) / n] if found else [0.0] * EVIDENCE)
-    model.weights = _logistic(np.array(x), y)
+    # n exp(-lambda best) of ordinary text falls below u with the probability 1 - exp(-K u).
+    reached = np.quantile(clean["n"].clip(lower=1) * np.exp(-model.rate * clean["best"]), QUANTILES)
+    model.scale = float(min(1.0, np.max(-np.log1p(-np.array(QUANTILES)) / np.maximum(reached, 1e-9))))
+    names = [f"x{k}" for k in range(EVIDENCE)]
+    x = _of_sample(sample, rows, model.evidence, names)
+    model.weights = _logistic(x[names].to_numpy(), x["label"].to_numpy(float))
 
 
 def with_score(docs: DataFrame, model: ToxicModel, name: str, text: str = "text") -> DataFrame:

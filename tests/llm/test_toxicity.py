@@ -88,3 +88,89 @@ def test_held_out_documents_of_the_table(llm):
     rows = [(r.predicted, labels[r.doc_id]) for r in X.op9_toxicity(llm, sf_dir).collect() if r.held_out and r.doc_id in labels]
     hit = sum(p and t for p, t in rows)
     assert hit / sum(t for _, t in rows) > 0.85 and hit / sum(p for p, _ in rows) > 0.85
+
+
+def test_scores_of_tokens_by_hand(llm, documents):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(WORDS + ["grobnik"] * (k % 3 == 0)) for _ in range(12)) for k in range(400)]
+    labels = llm.createDataFrame([(k, 1, int(k % 3 == 0)) for k in range(400)], "doc_id long, quality int, toxic int")
+    model = X.train(documents(list(enumerate(texts))), labels)
+    learned = [k for k in range(400) if zlib.crc32(str(k).encode()) % 4 != 2]
+    owned = {k: {x for w in X.tokens(texts[k]) for x in X.with_beginnings(w)} for k in learned}
+    count = lambda x, y: sum(x in owned[k] for k in learned if int(k % 3 == 0) == y)
+    n1, n0 = (sum(len(owned[k]) for k in learned if int(k % 3 == 0) == y) for y in (1, 0))
+    expected = {}
+    for x in set().union(*owned.values()):
+        y1, y0 = count(x, 1), count(x, 0)
+        a, whole = min(n1, n0) * (y1 + y0) / (n1 + n0), min(n1, n0)
+        s = np.log((y1 + a) / (n1 + whole - y1 - a)) - np.log((y0 + a) / (n0 + whole - y0 - a)) - X.ERRORS * np.sqrt(1 / (y1 + a) + 1 / (y0 + a))
+        if s > 0:
+            expected[x] = (s, (y0 + 0.5) / (n0 + 1))
+    assert "grobnik" in expected and set(model.scores) == set(expected)
+    assert all(model.scores[x] == pytest.approx(s) for x, (s, _) in expected.items())
+    gain, share = np.array(list(expected.values())).T
+    assert (share * np.exp(model.rate * (gain - X.DRIFT))).sum() + (1 - share.sum()) * np.exp(-model.rate * X.DRIFT) == pytest.approx(1, abs=1e-6)
+    clean = [(len(X.tokens(texts[k])), max((s for *_, s in model.passages(X.tokens(texts[k]))), default=0.0)) for k in learned if k % 3]
+    reached = np.quantile([n * np.exp(-model.rate * s) for n, s in clean], X.QUANTILES)
+    assert model.scale == pytest.approx(min(1.0, max(-np.log(1 - q) / u for q, u in zip(X.QUANTILES, reached))))
+    for k in range(400):
+        words = X.tokens(texts[k])
+        x = np.array(model.evidence(words))
+        assert model.score(x)[0] == pytest.approx(1 / (1 + np.exp(-(model.weights[0] + x @ model.weights[1:]))))
+
+
+def test_sum_of_passages_is_the_least_likely_number():
+    from math import exp, factorial, log
+
+    normal = np.array([2.0, -1.0, 5.0, 0.5, 3.0])
+    best = [5.0, 3.0, 2.0, 0.5]
+    law = [sum(best[:r]) for r in range(1, 5)]
+    assert X.sum_evidence(normal) == pytest.approx(max(-log(exp(-t) * t ** (r - 1) / (factorial(r) * factorial(r - 1)) * 2**r) for r, t in enumerate(law, 1)))
+    assert X.sum_evidence(np.array([-1.0])) == X.sum_evidence(np.array([])) == 0
+
+
+@pytest.fixture(scope="module")
+def fitted(llm):
+    """A model of the given documents, clean unlabelled texts, and whole words that are toxic beyond doubt."""
+    docs, labels = (llm.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    model = X.train(docs, labels)
+    clean = docs.join(labels.filter("toxic = 0"), "doc_id").filter("lang = 'en'").orderBy("doc_id").limit(600).collect()
+    texts = [w for w in (X.tokens(r.text) for r in clean) if w and len(set(w)) > 0.2 * len(w)]
+    rude = sorted((w for w in model.scores if not w.startswith("^")), key=lambda w: -model.scores[w])[:20]
+    return model, texts, rude
+
+
+def flagged(model, words):
+    return model.score(np.array(model.evidence(words)))[0] >= X.THRESHOLD
+
+
+def cut(texts, n, rng):
+    out = []
+    while len(out) < n:
+        out += rng.choice(texts)
+    return out[:n]
+
+
+@pytest.mark.parametrize("length", [50, 500, 5000, 20_000])
+def test_planted_words_are_found_at_any_length(fitted, length):
+    model, texts, rude = fitted
+    rng = random.Random(length)
+    texts = [t for t in texts if not flagged(model, t)]
+    caught = {}
+    for planted in (1, 2, 3):
+        found = 0
+        for _ in range(60):
+            words = cut(texts, length, rng)
+            at = rng.randrange(len(words))
+            words[at:at] = [x for _ in range(planted) for x in (rng.choice(rude), rng.choice(WORDS))]
+            found += flagged(model, words)
+        caught[planted] = found / 60
+    assert caught[1] > 0.35 and caught[2] > 0.85 and caught[3] > 0.95, caught
+
+
+@pytest.mark.parametrize("joined", [1, 5, 20, 60])
+def test_joined_clean_texts_stay_clean(fitted, joined):
+    model, texts, _ = fitted
+    rng = random.Random(joined)
+    wrong = np.mean([flagged(model, [w for _ in range(joined) for w in rng.choice(texts)]) for _ in range(100)])
+    assert wrong <= 0.05
