@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.tables import stored, table
@@ -37,10 +37,17 @@ NAMES = rf"(?i)(?:\b[a-z0-9_-]*{CREDENTIAL}[a-z0-9_-]*\W{{0,3}}[:=]\W{{0,3}}(?:(
 #: A run; '=' belongs to it as trailing padding only.
 RUN = r"[A-Za-z0-9+/_-]{16,}+(?:={1,2}+(?![A-Za-z0-9+/=_-]))?+"
 #: What a credential's name assigns: to the closing quote, a run, or up to white space, a quote or the next parameter of a URL.
-VALUE = rf"(?<=\")[^\"\n]++(?=\")|(?<=')[^'\n]++(?=')|(?<=`)[^`\n]++(?=`)|(?<!\w){RUN}(?![^\s\"'`&,;.)\]}}>])|[^\s\"'`&]++(?:&(?![A-Za-z0-9_-]++=)[^\s\"'`&]*+)*+"
-ASSIGNED = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{0,128}}?(?i:{CREDENTIAL})[A-Za-z0-9_-]{{0,64}}+[\"'`\])]?[ \t]{{0,3}}[:=]{{1,3}}>?[ \t]{{0,3}}(?:(?i:bearer|basic|token)[ \t]{{1,3}})?+[\"'`]?"
+VALUE = rf"(?<=\")[^\"\n]++(?=\")|(?<=')[^'\n]++(?=')|(?<=`)[^`\n]++(?=`)|(?<!\w){RUN}(?![^\s\"'`&,;.)\]}}>])|[^\s\"'`&][^\s\"'`]*?(?=&[A-Za-z0-9_-]++=|[\s\"'`]|\z)"
+#: A name is the part after the last '+' or '/' of a run, and begins where the run begins, so that each run is searched once.
+ASSIGNED = rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]*[+/])?+(?=[A-Za-z0-9_-]*?(?i:{CREDENTIAL}))[A-Za-z0-9_-]++[\"'`\])]?[ \t]{{0,3}}[:=]{{1,3}}>?[ \t]{{0,3}}(?:(?i:bearer|basic|token)[ \t]{{1,3}})?+[\"'`]?"
 #: Groups: the name and what assigns, the assigned value, or a run elsewhere.
 CANDIDATE = rf"({ASSIGNED})({VALUE})|(?<![A-Za-z0-9+/_-])({RUN})"
+#: What every candidate holds.
+NECESSARY = rf"[A-Za-z0-9+/_-]{{16}}|(?i:{CREDENTIAL})"
+#: Noncharacters that are put around candidates and between their groups.
+AROUND, BETWEEN = "\ufdd0", "\ufdd1"
+#: Parts of a text (candidates, each of six characters at least, and what lies between) that hold the context before a candidate.
+BACK = 16
 #: Signs that close a sentence or bracket and not an assigned value without quotes.
 CLOSING = r"[.,;:()\[\]{}<>]+$"
 #: Published forms of keys, and the inner lines of a PEM body.
@@ -55,33 +62,42 @@ FEATURES = (
     "chars", "digits", "upper", "symbols", "kinds", "hexadecimal", "distinct", "transitions", "cover", "slashes", "after_path", "named", "quoted",
     "assigned", "harmless",
 )
-FOUND = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, start, end, value, before, after)`` of every candidate, in code points, end exclusive."""
-    body = F.col("text")
-    gaps = F.split(body, CANDIDATE, -1)
-    group = lambda k, name: F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(k)).alias(name)
-    pairs = F.arrays_zip(gaps.alias("gap"), group(0, "whole"), group(1, "name"), group(2, "held"), group(3, "run"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("next"))
-
-    def step(state, x):
-        lead = F.concat(x["gap"], F.coalesce(x["name"], F.lit("")))
-        start = state["at"] + F.length(lead)
-        loose = F.regexp_replace(x["held"], CLOSING, "")
-        value = F.when(x["run"] != "", x["run"]).when(x["name"].rlike("[\"'`]$"), x["held"]).otherwise(loose)
-        # The context goes on over candidates before, so that a name among them is seen.
-        before = F.right(F.concat(state["tail"], F.right(lead, F.lit(CONTEXT))), F.lit(CONTEXT))
-        rest = F.substr(F.concat(x["held"], x["run"]), F.length(value) + 1, F.lit(CONTEXT))
-        one = F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), before.alias("before"), F.left(F.concat(rest, F.coalesce(x["next"], F.lit(""))), F.lit(CONTEXT)).alias("after"))
-        more = F.when(F.length(value) > 0, F.concat(state["found"], F.array(one).cast(FOUND))).otherwise(state["found"])
-        end = state["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["whole"]), F.lit(0))
-        tail = F.right(F.concat(state["tail"], F.right(x["gap"], F.lit(CONTEXT)), F.coalesce(F.right(x["whole"], F.lit(CONTEXT)), F.lit(""))), F.lit(CONTEXT))
-        return F.struct(end.alias("at"), tail.alias("tail"), more.alias("found"))
-
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(FOUND).alias("found")), step, lambda s: s["found"])
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(body.rlike(CANDIDATE))
-    return narrow.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*")
+    """``(doc_id, start, end, value, before, after, by_name)`` of every candidate, in code points, end exclusive.
+
+    ``by_name``: a credential's name assigns it, however long the name. A text is searched once: candidates are marked in it, and it is cut at the marks. Places are sums of lengths over the parts
+    before. The marks are the noncharacters U+FDD0 and U+FDD1, which are read as U+FFFD where a text holds them.
+    """
+    narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").rlike(NECESSARY))
+    body = F.translate("text", AROUND + BETWEEN, "\ufffd\ufffd")
+    marked = narrow.select("row", "doc_id", F.split(F.regexp_replace(body, CANDIDATE, AROUND + BETWEEN.join(["$1", "$2", "$3"]) + AROUND), AROUND, -1).alias("parts"))
+    # Part 2k + 1 is a candidate, part 2k what lies before it.
+    bare = lambda x: F.right(F.translate(x, BETWEEN, ""), F.lit(CONTEXT))
+
+    def part(i):
+        place = 2 * i
+        first = F.greatest(place - (BACK - 1), F.lit(1))
+        before = F.array_join(F.transform(F.slice("parts", first, place - first), bare), "")
+        return F.struct(
+            i.alias("k"), F.length(F.get("parts", place - 2)).alias("gap"), F.get("parts", place - 1).alias("found"), F.right(before, F.lit(CONTEXT)).alias("lead"),
+            F.left(F.get("parts", place), F.lit(CONTEXT)).alias("next"),
+        )
+
+    count = F.floor(F.size("parts") / 2).cast("int")
+    numbered = marked.filter(count > 0).select("row", "doc_id", F.explode(F.transform(F.sequence(F.lit(1), count), part)).alias("p")).select("row", "doc_id", "p.*")
+    groups = F.split("found", BETWEEN, -1)
+    split = numbered.select("row", "doc_id", "k", "gap", "lead", "next", groups[0].alias("name"), groups[1].alias("held"), groups[2].alias("run"))
+    whole = F.length("name") + F.length("held") + F.length("run")
+    upto = F.sum(F.col("gap") + whole).over(Window.partitionBy("row").orderBy("k"))
+    value = F.when(F.col("run") != "", F.col("run")).when(F.col("name").rlike("[\"'`]$"), F.col("held")).otherwise(F.regexp_replace("held", CLOSING, ""))
+    placed = split.withColumn("value", value).withColumn("start", (upto - F.length("held") - F.length("run")).cast("int"))
+    rest = F.substr(F.concat("held", "run"), F.length("value") + 1, F.lit(CONTEXT))
+    return placed.filter("value <> ''").select(
+        "doc_id", "start", (F.col("start") + F.length("value")).alias("end"), "value",
+        F.right(F.concat("lead", F.right("name", F.lit(CONTEXT))), F.lit(CONTEXT)).alias("before"), F.left(F.concat(rest, "next"), F.lit(CONTEXT)).alias("after"), (F.col("name") != "").alias("by_name"),
+    )
 
 
 def dictionary(docs: DataFrame, text: str = "text", known_in: int = KNOWN_IN) -> DataFrame:
@@ -91,38 +107,45 @@ def dictionary(docs: DataFrame, text: str = "text", known_in: int = KNOWN_IN) ->
 
 
 def _pieces(word: Column, length: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(word) - length + 1, F.lit(1))), lambda i: F.substr(word, i, F.lit(length)))
+    """All pieces of a length, one for each place; a shorter word is a piece itself."""
+    every = F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
+    return F.when(F.length(word) < length, F.array(word)).otherwise(every)
 
 
 def value_features(values: DataFrame, known: DataFrame) -> DataFrame:
     """``(value, transitions, cover)`` for each distinct ``value``.
 
-    Pieces are joined as rows; the tables of pieces hold at most one row per combination of letters.
+    Pieces are joined as rows, which carry a number in place of the value, so the work is linear in a value's length; the tables of
+    pieces hold at most one row per combination of letters.
     """
     pair_rows = known.select("n", F.explode(_pieces(F.col("word"), 2)).alias("piece")).groupBy("piece").agg(F.sum("n").cast("double").alias("n"))
     total = pair_rows.agg(F.sum("n")).first()[0] or 0.0
     lows = math.log(0.5 / (total + 1))
     pairs = pair_rows.select("piece", F.log(F.col("n") / (total + 1)).alias("score"))
     fours = known.filter(F.length("word") >= 4).select(F.explode(_pieces(F.col("word"), 4)).alias("piece")).distinct().withColumn("known", F.lit(1.0))
-    small = values.select("value", F.lower("value").alias("low"))
-    twos = small.select("value", F.explode(_pieces(F.col("low"), 2)).alias("piece")).join(pairs, "piece", "left").groupBy("value").agg(F.avg(F.coalesce("score", F.lit(lows))).alias("transitions"))
-    cover = small.select("value", F.explode(_pieces(F.col("low"), 4)).alias("piece")).join(fours, "piece", "left").groupBy("value").agg(F.avg(F.coalesce("known", F.lit(0.0))).alias("cover"))
-    return twos.join(cover, "value")
+    numbered = stored(values.select("value").withColumn("number", F.monotonically_increasing_id()), "values")
+    pieces = lambda n: numbered.select("number", F.explode(_pieces(F.lower("value"), n)).alias("piece"))
+    twos = pieces(2).join(pairs, "piece", "left").groupBy("number").agg(F.avg(F.coalesce("score", F.lit(lows))).alias("transitions"))
+    cover = pieces(4).join(fours, "piece", "left").groupBy("number").agg(F.avg(F.coalesce("known", F.lit(0.0))).alias("cover"))
+    return numbered.join(twos, "number").join(cover, "number").drop("number")
 
 
 def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
-    """The candidates with the columns ``FEATURES``."""
+    """The candidates with the columns ``FEATURES``; given findings may lack ``by_name``."""
     own = value_features(found.select("value").distinct(), known)
     value, size = F.col("value"), F.length("value")
     share = lambda pattern: F.length(F.regexp_replace(value, pattern, "")) / size
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0"), "[+/=_-]+", "_")
     yes = lambda c: c.cast("double")
+    named = F.col("before").rlike(NAMES)
+    if "by_name" in found.columns:
+        named = named | F.col("by_name")
     joined = found.join(own, "value")
     return joined.select(
         *[f"`{c}`" for c in found.columns], F.least(size, F.lit(256)).cast("double").alias("chars"), share("[^0-9]").alias("digits"), share("[^A-Z]").alias("upper"),
         share("[A-Za-z0-9]").alias("symbols"), (F.length(kinds) / size).alias("kinds"), yes(value.rlike("^[0-9a-fA-F]+$")).alias("hexadecimal"),
         (F.size(F.array_distinct(F.split(value, ""))) / size).alias("distinct"), "transitions", "cover", share("[^/]").alias("slashes"),
-        yes(F.col("before").rlike(r"[/.\\]$") | F.col("after").rlike(r"^[/.\\][A-Za-z]")).alias("after_path"), yes(F.col("before").rlike(NAMES)).alias("named"),
+        yes(F.col("before").rlike(r"[/.\\]$") | F.col("after").rlike(r"^[/.\\][A-Za-z]")).alias("after_path"), yes(named).alias("named"),
         yes(F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")).alias("quoted"), yes(F.col("before").rlike(r"[:=]\W{0,3}$")).alias("assigned"),
         yes(F.col("before").rlike(HARMLESS)).alias("harmless"),
     )

@@ -44,6 +44,7 @@ def test_assigned_values_leave_the_name_outside(documents):
     texts = {
         f"API_KEY={long} end": long, f"get /x?access_token={long}&page=2": long, 'password = "Tr0ub4dor&3!"': "Tr0ub4dor&3!", "password: hunter2secret.": "hunter2secret",
         f"AWS_SECRET_ACCESS_KEY={long}": long, f"Authorization: Bearer {long}": long, '{"passwd": "a b,c"}': "a b,c", "config/of/the/database/password=x1;": "x1",
+        f"{'a' * 140}_token=\"hunter2!x\"": "hunter2!x", f"token_{'b' * 80}=\"hunter2!x\"": "hunter2!x", "secret=a&b&c&page=2": "a&b&c", "secret=a&": "a&",
         f"key {long}== end": long + "==", "PASSWORD=\"open": None, "the author: Smith": None,
     }
     got = {r.doc_id: r for r in S.candidates(documents(list(enumerate(texts)))).collect()}
@@ -51,7 +52,7 @@ def test_assigned_values_leave_the_name_outside(documents):
         assert (got[k].value if k in got and value else value) == value, text
         if value:
             assert text[got[k].start : got[k].end] == value and text[: got[k].start].endswith(got[k].before) and text[got[k].end :].startswith(got[k].after)
-            assert bool(re.search(S.NAMES, got[k].before)) == (not text.startswith("key")), text
+            assert (bool(re.search(S.NAMES, got[k].before)) or got[k].by_name) == (not text.startswith("key")), text
 
 
 def test_pieces_and_cover_against_brute_force(docs):
@@ -67,6 +68,56 @@ def test_pieces_and_cover_against_brute_force(docs):
         assert r.distinct == pytest.approx(len(set(r.value)) / len(r.value))
 
 
+def test_random_texts_are_placed_as_by_hand(documents):
+    """Values, places and contexts against the pattern run by another engine."""
+    rng = random.Random(12)
+    signs = ["token", "my_password", "API-KEY/", "a/b+auth", "author", "x" * 15, "y" * 17, "é", " ", "  ", "=", ":", ": ", '"', "'", "`", "&", "&p=", "\n", ".", ")", "Bearer ", "hunter2!", "9f" * 9, "==", "\ufdd0"]
+    rows = [(k, "".join(rng.choice(signs) for _ in range(rng.randint(1, 40)))) for k in range(600)]
+    pattern = re.compile(S.CANDIDATE.replace("\\z", "\\Z"))
+    want = []
+    for k, text in rows:
+        text = text.replace("\ufdd0", "\ufffd")
+        for m in pattern.finditer(text):
+            name, held, run = (m[g] or "" for g in (1, 2, 3))
+            value = run or (held if re.search("[\"'`]$", name) else re.sub(S.CLOSING, "", held))
+            start = m.start() + len(name)
+            follow = re.search(pattern, text[m.end() :])
+            until = len(text) if follow is None else next((n.start() for n in pattern.finditer(text) if n.start() >= m.end()), len(text))
+            if value:
+                want.append((k, start, start + len(value), value, text[max(0, start - S.CONTEXT) : start], text[start + len(value) : until][: S.CONTEXT]))
+    got = [tuple(r)[:6] for r in S.candidates(documents(rows)).collect()]
+    assert len(want) > 500 and sorted(got) == sorted(want)
+
+
+def test_transitions_against_brute_force(docs):
+    from math import log
+
+    known = {r.word: r.n for r in S.dictionary(docs).collect()}
+    pairs = {}
+    for w, n in known.items():
+        for p in [w] if len(w) < 2 else [w[i : i + 2] for i in range(len(w) - 1)]:
+            pairs[p] = pairs.get(p, 0) + n
+    total = sum(pairs.values())
+    for r in S.with_features(S.candidates(docs), S.dictionary(docs)).select("value", "transitions").collect():
+        own = [r.value.lower()[i : i + 2] for i in range(len(r.value) - 1)]
+        assert r.transitions == pytest.approx(sum(log(pairs[p] / (total + 1)) if p in pairs else log(0.5 / (total + 1)) for p in own) / len(own))
+
+
+def test_very_long_runs_and_texts(documents):
+    import time
+
+    rng = random.Random(3)
+    run = "".join(rng.choices("abcdefABCDEF0123456789+/", k=1_000_000))
+    names = "token_" * 100_000
+    many = "".join(f'password = "{rng.getrandbits(64):x}!" and more words between\n' for _ in range(100_000))
+    start = time.time()
+    found = S.with_features(S.candidates(documents([(1, run), (2, names), (3, many), (4, "secret=" + "a&" * 200_000)])), S.dictionary(documents([(k, "word text") for k in range(3)])))
+    rows = found.select("doc_id", "value", "start", "cover").collect()
+    assert time.time() - start < 90
+    assert [r.value for r in rows if r.doc_id == 1] == [run] and [len(r.value) for r in rows if r.doc_id == 4] == [400_000]
+    assert sum(r.doc_id == 3 for r in rows) == 100_000 and all(many[r.start :].startswith(r.value) for r in rows[:50] if r.doc_id == 3)
+
+
 def test_forest_keeps_secrets_and_drops_words(docs):
     got = S.secret_findings(docs).collect()
     assert got and all(r.is_secret == (r.score >= 0.5) and 0 <= r.score <= 1 for r in got)
