@@ -59,12 +59,18 @@ def _scan_shards(queries: DataFrame, corpus: DataFrame, k: int, max_dist, metric
     of shards follows from the corpus' row count, which is a scalar of the same plan.
     """
     shards = F.greatest(F.lit(1), F.ceil(corpus.agg(F.count("*")).scalar() / F.lit(SHARD_ROWS)))
-    vector = F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
     number = F.pmod(F.xxhash64("vec_id"), shards)
-    held = corpus.select(number.alias("shard"), F.lit(0).alias("kind"), F.col("vec_id").cast("bigint").alias("id"), vector)
+    held = corpus.select(number.alias("shard"), F.col("vec_id").cast("bigint").alias("id"), "embedding")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), shards - 1))
-    asked = queries.select(every.alias("shard"), F.lit(1).alias("kind"), F.col("query_id").cast("bigint").alias("id"), vector)
-    dealt = held.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
+    asked = queries.select(every.alias("shard"), F.col("query_id").cast("bigint").alias("id"), "embedding")
+    return scan_dealt(held, asked, k, max_dist, metric)
+
+
+def scan_dealt(held: DataFrame, asked: DataFrame, k: int, max_dist: float | None, metric: str) -> DataFrame:
+    """The k nearest held rows of every query within each shard; both sides are ``(shard, id, embedding)``."""
+    vector = F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
+    kinds = [side.select("shard", F.lit(kind).alias("kind"), "id", vector) for kind, side in enumerate((held, asked))]
+    dealt = kinds[0].unionByName(kinds[1]).repartition("shard").sortWithinPartitions("shard", "kind")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, ids, parts, block = None, [], [], None

@@ -67,17 +67,15 @@ query(
 
 
 REQUIRED = ["customer", "orders", "part", "supplier", "shipments"]
+GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def table_files(t) -> DataFrame:
     """Every file below the input folder, also one without rows, with the number of rows read from it; a table is a prefix."""
     place = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
     listing = files.file_listing(t.spark, t.dir).withColumn("path", place("path")).withColumn("prefix", F.regexp_extract("path", r"([^/]+)\.parquet(?:/.*)?$", 1))
-    names = sorted(r.prefix for r in listing.select("prefix").distinct().collect() if r.prefix)
-    counts = [t.spark.read.parquet(f"{t.dir}/{n}.parquet").select(place("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("rows")) for n in names]
-    if not counts:
-        return listing.withColumn("rows", F.lit(0).cast("long"))
-    return listing.join(union_all(counts), "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
+    counts = files.rows_by_file(t.spark, t.dir).withColumn("path", place("path"))
+    return listing.join(counts, "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
 
 
 query(
@@ -96,6 +94,9 @@ def _src18(t):
 
 
 query("src18_file_inventory")(_src18)
+query("src18_rows_by_prefix", " UNION ALL ".join(f"SELECT '{n}' AS prefix, count(*) AS rows FROM {n}" for n in GIVEN))(
+    lambda t: table_files(t).groupBy("prefix").agg(F.sum("rows").alias("rows"))
+)
 
 # ---- sinks -------------------------------------------------------------------------------------------
 

@@ -20,6 +20,7 @@ class Lake(DriverTables):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(prepare(spark), sf_dir)
+        self.written: dict[str, DataFrame] = {}
 
     bronze_customers = cached_property(lambda self: bronze.bronze_customers(self.raw_customers))
     bronze_orders = cached_property(lambda self: bronze.bronze_orders(self.raw_orders))
@@ -56,13 +57,17 @@ class Lake(DriverTables):
     def stored(self, root: str, names: list[str]) -> Lake:
         """A lake whose named tables are written below ``root`` and read from there.
 
-        Name them in dependency order: every table is built on the ones written before it.
+        Name them in dependency order: every table is built on the ones written before it. Tables that this lake reads from
+        somewhere already stay as they are.
         """
         out = type(self)(self.spark, self.dir)
+        out.written = dict(self.written)
+        out.__dict__.update(out.written)
         for name in names:
-            df = getattr(out, name)
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-            out.__dict__[name] = self.spark.read.schema(df.schema).parquet(f"{root}/{name}")
+            if name not in out.written:
+                df = getattr(out, name)
+                df.write.mode("overwrite").parquet(f"{root}/{name}")
+                out.__dict__[name] = out.written[name] = self.spark.read.schema(df.schema).parquet(f"{root}/{name}")
         return out
 
     def with_dimensions(self, *names: str) -> Lake:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import anomalies, neighbors, opslog, tagging
+from stratalake.operators import anomalies, neighbors, opslog, tagging, vector_index
 from stratalake.queries.flows import table_files
 from stratalake.queries.registry import query
 from stratalake.sources.driver_tables import AGENTS, EVENTS_AS_OF
@@ -225,28 +225,49 @@ def _rounded(df):
     return df.withColumn("distance", F.round("distance", 6))
 
 
-HITS = """WITH cells AS (SELECT label, generate_subscripts(embedding, 1) AS place, unnest(embedding) AS x FROM embeddings),
+def _asked_rows(t):
+    """The stated queries: every row whose id is divisible by 50."""
+    return t.table("embeddings").filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").cast("bigint").alias("query_id"), "embedding")
+
+
+CENTROIDS = """WITH cells AS (SELECT label, generate_subscripts(embedding, 1) AS place, unnest(embedding) AS x FROM embeddings),
   q AS (SELECT CAST(label AS BIGINT) AS query_id, list(m ORDER BY place) AS v FROM (SELECT label, place, avg(CAST(x AS DOUBLE)) AS m
-    FROM cells GROUP BY 1, 2) GROUP BY 1),
-  d AS (SELECT query_id, vec_id, label, list_sum([pow(v[i] - CAST(embedding[i] AS DOUBLE), 2) for i in range(1, len(v) + 1)]) AS distance
+    FROM cells GROUP BY 1, 2) GROUP BY 1),"""
+ASKED_ROWS = "WITH q AS (SELECT vec_id AS query_id, [CAST(x AS DOUBLE) for x in embedding] AS v FROM embeddings WHERE vec_id % 50 = 0),"
+DISTANCES = """ d AS (SELECT query_id, vec_id, label, list_sum([pow(v[i] - CAST(embedding[i] AS DOUBLE), 2) for i in range(1, len(v) + 1)]) AS distance
     FROM q, embeddings),
   hits AS (SELECT query_id, vec_id, distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INT) AS rank
     FROM d QUALIFY rank <= 10)"""
+NEAREST = f" SELECT query_id, vec_id, round(distance, 6) AS distance, rank FROM hits WHERE distance < {MAX_DIST}"
+IN_CATEGORY = f""" SELECT query_id, vec_id, round(distance, 6) AS distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INT) AS rank
+      FROM d WHERE label = 1 AND distance < {MAX_DIST} QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= {K}"""
+query("nn1_knn", ASKED_ROWS + DISTANCES + NEAREST)(lambda t: _rounded(neighbors.knn(_asked_rows(t), t.table("embeddings"), K, MAX_DIST)))
+query("nn1_knn_centroids", CENTROIDS + DISTANCES + NEAREST)(lambda t: _rounded(neighbors.knn(_centroids(t), t.table("embeddings"), K, MAX_DIST)))
+query("nn1_knn_category", ASKED_ROWS + DISTANCES + IN_CATEGORY)(
+    lambda t: _rounded(neighbors.knn(_asked_rows(t), t.table("embeddings"), K, MAX_DIST, category=1))
+)
+query("nn1_index_exact", ASKED_ROWS + DISTANCES + NEAREST)(
+    lambda t: _rounded(vector_index.search(vector_index.build_index(t.table("embeddings")), _asked_rows(t), K, MAX_DIST, exact=True))
+)
+
+
+def _index_recall(t):
+    """The probing search against the exact one."""
+    queries, corpus = _asked_rows(t), t.table("embeddings")
+    found = vector_index.search(vector_index.build_index(corpus), queries, K, MAX_DIST)
+    measured = vector_index.recall(found, neighbors.knn(queries, corpus, K, MAX_DIST))
+    return measured.select("queries", "expected", (F.col("recall") >= 0.9).alias("recall_of_nine_tenths"))
+
+
 query(
-    "nn1_knn",
-    HITS + f" SELECT query_id, vec_id, round(distance, 6) AS distance, rank FROM hits WHERE distance < {MAX_DIST}",
-)(lambda t: _rounded(neighbors.knn(_centroids(t), t.table("embeddings"), K, MAX_DIST)))
-query(
-    "nn1_knn_category",
-    HITS
-    + f""" SELECT query_id, vec_id, round(distance, 6) AS distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INT) AS rank
-      FROM d WHERE label = 1 AND distance < {MAX_DIST} QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= {K}""",
-)(lambda t: _rounded(neighbors.knn(_centroids(t), t.table("embeddings"), K, MAX_DIST, category=1)))
+    "nn1_index_recall",
+    ASKED_ROWS + DISTANCES + f" SELECT count(DISTINCT query_id) AS queries, count(*) AS expected, true AS recall_of_nine_tenths FROM hits WHERE distance < {MAX_DIST}",
+)(_index_recall)
 
 
 def _variants(t):
-    """Two variants per question: the mean vector of a label and the same moved towards the origin."""
-    base = _centroids(t)
+    """Two variants per question: the vector of a row and the same moved towards the origin."""
+    base = _asked_rows(t)
     scaled = lambda f: F.transform("embedding", lambda x: x * f)
     one = base.select(F.col("query_id").alias("question_id"), (F.col("query_id") * 2).alias("query_id"), F.lit(0).alias("variant"), "embedding")
     two = base.select(F.col("query_id").alias("question_id"), (F.col("query_id") * 2 + 1).alias("query_id"), F.lit(1).alias("variant"), scaled(0.5).alias("embedding"))
@@ -255,7 +276,8 @@ def _variants(t):
 
 query(
     "nn2_knn_multi",
-    HITS
+    ASKED_ROWS
+    + DISTANCES
     + """, variants AS (SELECT query_id AS question_id, 0 AS variant, v FROM q UNION ALL SELECT query_id, 1, [x * 0.5 for x in v] FROM q),
       dist AS (SELECT question_id, variant, vec_id, list_sum([pow(v[i] - CAST(embedding[i] AS DOUBLE), 2) for i in range(1, len(v) + 1)])
         AS distance FROM variants, embeddings),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,12 @@ def file_listing(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     )
 
 
+def rows_by_file(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """``(path, rows)`` of every Parquet file below ``root`` that holds rows, whatever its columns: one scan that reads no column."""
+    reader = spark.read.schema("unread boolean").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    return reader.parquet(root).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("rows"))
+
+
 def require_sources(listing: DataFrame, prefixes: Sequence[str]) -> DataFrame:
     """Required prefixes with their number of files and whether there is at least one.
 
@@ -64,12 +70,3 @@ def file_inventory(listing: DataFrame, as_of) -> DataFrame:
             F.when(F.col("age_hours") < FRESH_HOURS, "OK").when(F.col("age_hours") <= LATE_HOURS, "WARN").otherwise("MISSING"),
         )
     )
-
-
-def with_prefix(listing: DataFrame, prefix_of: Mapping[str, str] | None = None) -> DataFrame:
-    """Add ``prefix``: the file name without extension, or what ``prefix_of`` maps it to."""
-    name = F.regexp_extract("path", r"([^/]+?)(\.[A-Za-z]+)?$", 1)
-    out = name
-    for source, prefix in (prefix_of or {}).items():
-        out = F.when(name == source, F.lit(prefix)).otherwise(out)
-    return listing.withColumn("prefix", out)

@@ -123,3 +123,20 @@ def test_library_rules(path):
     source = path.read_text()
     for forbidden in (".collect()", "localCheckpoint", "crossJoin", "datetime.now", "current_timestamp", ".rdd", "coalesce(1)", "tojson()", ".toPandas()"):
         assert forbidden not in source, forbidden
+
+
+def test_a_stored_lake_keeps_its_tables(lake, spark):
+    from stratalake.session import scratch_path
+
+    served = lake.stored(scratch_path(spark, "gold"), ["dim_products", "dim_customers", "fct_orders"])
+    again = served.with_dimensions("dim_customers", "dim_vendors")
+    assert set(again.written) == {"dim_products", "dim_customers", "fct_orders", "dim_vendors"}
+    assert plan(again.fct_orders).count("FileScan") == 1 and "lineitem" not in plan(again.fct_orders)
+    assert not lake.written
+
+
+def test_row_counts_of_files_read_no_column(lake, spark):
+    from stratalake.sources import files
+
+    text = plan(files.rows_by_file(spark, lake.dir))
+    assert text.count("FileScan") == 1 and "ReadSchema: struct<>" in text
