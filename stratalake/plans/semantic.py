@@ -25,7 +25,10 @@ class Measure:
 
 @dataclass(frozen=True)
 class SemanticModel:
-    """A table with its default time column, dimensions (name -> column) and measures."""
+    """A table with its default time column, entities and dimensions (name -> column) and measures.
+
+    ``primary`` names the entity that identifies a row; the other entities refer to the models in which they are primary.
+    """
 
     table: str
     time: str
@@ -33,6 +36,7 @@ class SemanticModel:
     dimensions: Mapping[str, str]
     measures: Mapping[str, Measure]
     condition: str | None = None
+    primary: str | None = None
 
 
 @dataclass(frozen=True)
@@ -63,6 +67,7 @@ REGISTRY = Registry(
             time="order_date",
             entities={"order": "order_id", "customer": "customer_key", "product": "product_key"},
             dimensions={"order_status": "status", "customer_segment": "customer_segment", "country": "customer_country"},
+            primary="order",
             measures={
                 "total_orders": Measure("count", "order_id"),
                 "total_revenue": Measure("sum", "revenue"),
@@ -73,14 +78,32 @@ REGISTRY = Registry(
             table="dim_customers",
             time="valid_from",
             entities={"customer": "customer_key"},
-            dimensions={"country": "country", "customer_segment": "segment"},
+            dimensions={"country": "country", "customer_segment": "segment", "city": "city"},
             measures={"total_customers": Measure("count", "customer_key")},
             condition="is_current = 1",
+            primary="customer",
+        ),
+        "products": SemanticModel(
+            table="dim_products",
+            time="created_at",
+            entities={"product": "product_key"},
+            dimensions={"category": "category", "price_tier": "price_tier"},
+            measures={"total_products": Measure("count", "product_key")},
+            primary="product",
+        ),
+        "users": SemanticModel(
+            table="dim_users",
+            time="created_at",
+            entities={"user": "user_id"},
+            dimensions={"user_country": "country", "user_plan": "plan", "billing_cycle": "billing_cycle"},
+            measures={"total_users": Measure("count", "user_id")},
+            primary="user",
         ),
         "saas_subscriptions": SemanticModel(
             table="stg_subscriptions",
             time="started_at",
             entities={"subscription": "subscription_id", "user": "user_id"},
+            primary="subscription",
             dimensions={"plan": "plan"},
             measures={"mrr": Measure("sum", "mrr"), "subscriber_count": Measure("count_distinct", "user_id")},
         ),
@@ -110,6 +133,99 @@ def _grain(time: str, grain: str) -> Column:
     return F.to_date(F.date_trunc(grain, F.col(time)))
 
 
+class FanOut(ValueError):
+    """A dimension can only be reached by a step that would multiply the rows of the metric."""
+
+
+@dataclass(frozen=True)
+class Step:
+    """A many-to-one join: the column that refers to an entity, and the model that the entity identifies."""
+
+    entity: str
+    column: str
+    model: str
+
+
+def join_path(registry: Registry, start: str, dimension: str) -> tuple[Step, ...]:
+    """The shortest way of many-to-one steps from a model to one that declares ``dimension``; empty if it is the model itself.
+
+    ``entity__dimension`` asks for the way whose last step is that entity. Two shortest ways are an error, as is a way that exists only
+    against the direction of the references.
+    """
+    entity, _, name = dimension.rpartition("__")
+    owners = {m for m, model in registry.models.items() if name in model.dimensions}
+    if not owners:
+        raise KeyError(f"no model declares dimension {name!r}")
+    if start in owners and not entity:
+        return ()
+    level: list[tuple[str, tuple[Step, ...]]] = [(start, ())]
+    seen = {start}
+    while level:
+        found, following = [], []
+        for at, path in level:
+            for step in _steps(registry, at):
+                if step.model not in seen:
+                    following.append((step.model, (*path, step)))
+        found = [path for to, path in following if to in owners and entity in ("", path[-1].entity)]
+        if len(found) > 1:
+            raise ValueError(f"{dimension!r} of {start!r} is ambiguous: {sorted(' -> '.join(s.entity for s in p) for p in found)}")
+        if found:
+            return found[0]
+        seen |= {to for to, _ in following}
+        level = following
+    raise FanOut(f"{dimension!r} of {start!r}: only reached by steps to many rows" if _connected(registry, start, owners) else f"{dimension!r} is not connected to {start!r}")
+
+
+def _steps(registry: Registry, at: str) -> list[Step]:
+    """Steps to the models that the entities of a model identify."""
+    model = registry.models[at]
+    return [Step(e, column, name) for e, column in model.entities.items() if e != model.primary for name, other in registry.models.items() if name != at and other.primary == e]
+
+
+def _connected(registry: Registry, start: str, owners: set[str]) -> bool:
+    """Whether entities in common, in either direction, lead from ``start`` to one of ``owners``."""
+    reached, models = {start}, registry.models
+    while True:
+        more = {n for n, m in models.items() if any(set(m.entities) & set(models[r].entities) for r in reached)} | reached
+        if more == reached:
+            return bool(reached & owners)
+        reached = more
+
+
+def _rows(tables: Mapping[str, DataFrame], model: SemanticModel) -> DataFrame:
+    df = tables[model.table]
+    return df.filter(model.condition) if model.condition else df
+
+
+def with_dimensions(tables: Mapping[str, DataFrame], start: str, by: Sequence[str], registry: Registry) -> tuple[DataFrame, dict[str, str]]:
+    """The rows of a model with the dimensions of others joined to them, and the column of each dimension.
+
+    Each way is joined once, however many dimensions it leads to, and only their columns are taken along. Rows without a partner
+    keep NULL dimensions.
+    """
+    df, columns, joined = _rows(tables, registry.models[start]), {}, {}
+    paths = {d: join_path(registry, start, d) for d in by}
+    for dimension, path in paths.items():
+        name = dimension.rpartition("__")[2]
+        if not path:
+            columns[dimension] = registry.models[start].dimensions[name]
+            continue
+        for length, step in enumerate(path, 1):
+            key = path[:length]
+            if key in joined:
+                continue
+            model, prefix = registry.models[step.model], f"{'__'.join(s.entity for s in key)}__"
+            needed = {registry.models[step.model].dimensions[d.rpartition("__")[2]] for d, p in paths.items() if p == key}
+            needed |= {p[length].column for p in paths.values() if p[:length] == key and len(p) > length}
+            identity = model.entities[step.entity]
+            side = _rows(tables, model).select(F.col(identity).alias(f"{prefix}key"), *[F.col(c).alias(f"{prefix}{c}") for c in sorted(needed)])
+            left = step.column if length == 1 else f"{joined[path[: length - 1]]}{step.column}"
+            df = df.join(side, df[left] == side[f"{prefix}key"], "left").drop(f"{prefix}key")
+            joined[key] = prefix
+        columns[dimension] = f"{joined[path]}{registry.models[path[-1].model].dimensions[name]}"
+    return df, columns
+
+
 def query_metric(
     tables: Mapping[str, DataFrame],
     name: str,
@@ -117,15 +233,16 @@ def query_metric(
     grain: str | None = None,
     registry: Registry = REGISTRY,
 ) -> DataFrame:
-    """One metric grouped by dimensions and, when a grain is given, by ``period``."""
+    """One metric grouped by dimensions and, when a grain is given, by ``period``.
+
+    Dimensions may be those of another model that the metric's model leads to (``join_path``).
+    """
     metric = registry.metric(name)
     if metric.ratio:
         return query_ratio(tables, name, by, grain, registry)
     model = registry.models[metric.model]
-    df = tables[model.table]
-    if model.condition:
-        df = df.filter(model.condition)
-    keys = [F.col(model.dimensions[d]).alias(d) for d in by]
+    df, columns = with_dimensions(tables, metric.model, by, registry)
+    keys = [F.col(columns[d]).alias(d) for d in by]
     if grain:
         keys.append(_grain(model.time, grain).alias("period"))
     return df.groupBy(*keys).agg(model.measures[metric.measure].column().alias(name))
@@ -159,8 +276,7 @@ def all_metrics(tables: Mapping[str, DataFrame], registry: Registry = REGISTRY)
         own = {name: m for name, m in plain.items() if m.model == key}
         if not own:
             continue
-        df = tables[model.table]
-        row = (df.filter(model.condition) if model.condition else df).agg(*[model.measures[m.measure].column().cast("double").alias(n) for n, m in own.items()])
+        row = _rows(tables, model).agg(*[model.measures[m.measure].column().cast("double").alias(n) for n, m in own.items()])
         parts.append(unpivot_rows(row, [{"metric": F.lit(n), "value": F.col(n)} for n in own]))
     stacked = union_all(parts)
     row = stacked.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in plain])

@@ -701,6 +701,8 @@ def _tables(t):
     return {
         "fct_orders": t.fct_orders,
         "dim_customers": t.dim_customers,
+        "dim_products": t.dim_products,
+        "dim_users": t.dim_users,
         "stg_subscriptions": t.stg_subscriptions,
         "stg_events": t.stg_events,
     }
@@ -743,6 +745,30 @@ query(
 )(lambda t: semantic.query_metric(_tables(t), "revenue_per_customer", ["customer_segment"]))
 
 
+# Dimensions that another model declares, reached over the entities.
+WHO = "(SELECT * FROM dim_customers WHERE is_current = 1) c"
+query(
+    "met2_revenue_by_city",
+    f"SELECT c.city, CAST(sum(f.revenue) AS DOUBLE) AS revenue FROM fct_orders f LEFT JOIN {WHO} ON f.customer_key = c.customer_key GROUP BY 1",
+)(lambda t: semantic.query_metric(_tables(t), "revenue", ["city"]))
+query(
+    "met2_orders_by_category_city_month",
+    f"""SELECT p.category, c.city, f.status AS order_status, CAST(date_trunc('month', f.order_date) AS DATE) AS period, count(f.order_id) AS orders_count
+      FROM fct_orders f LEFT JOIN dim_products p ON f.product_key = p.product_key LEFT JOIN {WHO} ON f.customer_key = c.customer_key GROUP BY ALL""",
+)(lambda t: semantic.query_metric(_tables(t), "orders_count", ["category", "customer__city", "order_status"], "month").withColumnRenamed("customer__city", "city"))
+query(
+    "met2_dau_by_country_day",
+    """SELECT u.country AS user_country, CAST(e.occurred_at AS DATE) AS period, count(DISTINCT e.user_id) AS dau FROM stg_events e
+      LEFT JOIN dim_users u ON e.user_id = u.user_id GROUP BY 1, 2""",
+)(lambda t: semantic.query_metric(_tables(t), "dau", ["user_country"], "day"))
+query(
+    "met3_revenue_per_customer_by_city",
+    f"""SELECT r.city, r.revenue, n.active_customers, r.revenue / n.active_customers AS revenue_per_customer FROM
+      (SELECT c.city, CAST(sum(f.revenue) AS DOUBLE) AS revenue FROM fct_orders f LEFT JOIN {WHO} ON f.customer_key = c.customer_key GROUP BY 1) r
+      LEFT JOIN (SELECT city, count(*) AS active_customers FROM dim_customers WHERE is_current = 1 GROUP BY 1) n ON r.city = n.city""",
+)(lambda t: semantic.query_metric(_tables(t), "revenue_per_customer", ["city"]))
+
+
 def _met4(t):
     """Large orders per day on a dense calendar: quiet days become 0."""
     daily = t.fct_orders.filter(F.col("amount") > 400000).groupBy("order_date_day").agg(
