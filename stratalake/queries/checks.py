@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import contracts, governance, integrity, profiling, quality
+from stratalake.operators import contracts, governance, integrity, profiling, quality, schema_census
 from stratalake.plans import marts, suites
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
@@ -719,6 +719,85 @@ query(
     + """ SELECT table_name, coalesce(string_agg(a, ', ' ORDER BY a), '') AS added, coalesce(string_agg(r, ', ' ORDER BY r), '') AS removed
       FROM (SELECT table_name, column_name AS a, NULL AS r FROM added UNION ALL SELECT table_name, NULL, column_name FROM removed) GROUP BY 1""",
 )(lambda t: governance.schema_drift(_attributes(t, BEFORE), _attributes(t, NOW)))
+
+
+# ---- schemas of documents --------------------------------------------------------------------------------
+
+
+def _documents(t):
+    """Documents of two sources by period: what events carry, by day, and orders as documents whose form changed in 1996."""
+    events = t.table("events").select(F.concat(F.lit("events/"), "event_type").alias("source"), F.to_date("ts").cast("string").alias("period"), F.col("props").alias("document"))
+    new = F.year("o_orderdate") >= 1996
+    who = F.struct(F.col("o_custkey").alias("id"), F.when(new, F.struct(F.col("o_orderpriority").alias("level"))).alias("care"))
+    document = F.struct(
+        F.when(~new, F.col("o_orderkey")).alias("id"), F.when(new, F.struct(F.col("o_orderkey").cast("string").alias("no"))).alias("order"),
+        F.when(new, F.col("o_custkey").cast("string")).otherwise(F.lit("x")).alias("ref"), F.when(new, F.array(F.struct(F.year("o_orderdate").alias("y")))).alias("parts"),
+        F.when(~new, F.col("o_orderstatus")).alias("status"), who.alias("customer"), F.round("o_totalprice", 2).cast("decimal(15,2)").alias("total"),
+    )
+    numbers = F.to_json(F.struct(F.when(new, F.col("o_custkey").cast("string")).alias("key_text"), F.when(~new, F.col("o_custkey")).alias("key")))
+    text = F.regexp_replace(numbers, "key_text", "key")  # the same key, a number before and a string after
+    orders = t.table("orders")
+    period = F.when(new, "since 1996").otherwise("before 1996").alias("period")
+    return events.unionByName(orders.select(F.lit("orders").alias("source"), period, F.to_json(document).alias("document"))).unionByName(
+        orders.select(F.lit("order keys").alias("source"), period, text.alias("document"))
+    )
+
+
+def _document_paths(t):
+    return schema_census.schema_paths(schema_census.schema_census(_documents(t), ["source", "period"], "document"), ["source", "period"])
+
+
+DOCUMENTS = """WITH docs AS (SELECT 'events/' || event_type AS source, CAST(CAST(ts AS DATE) AS VARCHAR) AS period, CAST(props AS JSON) AS document FROM events
+  UNION ALL SELECT 'orders', 'since 1996', json_object('order', json_object('no', CAST(o_orderkey AS VARCHAR)), 'ref', CAST(o_custkey AS VARCHAR),
+    'parts', json_array(json_object('y', year(o_orderdate))), 'customer', json_object('id', o_custkey, 'care', json_object('level', o_orderpriority)), 'total', 0.5)
+    FROM orders WHERE year(o_orderdate) >= 1996
+  UNION ALL SELECT 'orders', 'before 1996', json_object('id', o_orderkey, 'ref', 'x', 'status', o_orderstatus, 'customer', json_object('id', o_custkey), 'total', 0.5)
+    FROM orders WHERE year(o_orderdate) < 1996
+  UNION ALL SELECT 'order keys', CASE WHEN year(o_orderdate) >= 1996 THEN 'since 1996' ELSE 'before 1996' END,
+    CASE WHEN year(o_orderdate) >= 1996 THEN json_object('key', CAST(o_custkey AS VARCHAR)) ELSE json_object('key', o_custkey) END FROM orders),
+  seen AS (SELECT DISTINCT source, period, regexp_replace(j.fullkey, '\\[[0-9]+\\]', '[]', 'g') AS path,
+    CASE j.type WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' WHEN 'DOUBLE' THEN 'DECIMAL' ELSE j.type END AS type FROM docs, json_tree(document) j),
+  paths AS (SELECT source, period, path, CASE WHEN count(*) = 1 THEN max(type) ELSE 'VARIANT' END AS type FROM seen GROUP BY 1, 2, 3)"""
+DRIFTED = """ SELECT coalesce(o.source, n.source) AS source, coalesce(o.path, n.path) AS path,
+  CASE WHEN o.path IS NULL THEN 'added' WHEN n.path IS NULL THEN 'removed' ELSE 'retyped' END AS change, o.type AS old_type, n.type AS new_type
+  FROM (SELECT * FROM paths WHERE {before}) o FULL JOIN (SELECT * FROM paths WHERE {after}) n ON o.source = n.source AND o.path = n.path
+  WHERE o.type IS DISTINCT FROM n.type"""
+query("drf1_document_paths", DOCUMENTS + " SELECT * FROM paths")(_document_paths)
+
+
+def _document_changes(t):
+    paths = _document_paths(t)
+    before, after = (paths.filter(F.col("period").isin(*periods)) for periods in ((BEFORE, "before 1996"), (NOW, "since 1996")))
+    return schema_census.schema_changes(before, after, ["source"])
+
+
+query("drf1_document_changes", DOCUMENTS + DRIFTED.format(before=f"period IN ('{BEFORE}', 'before 1996')", after=f"period IN ('{NOW}', 'since 1996')"))(_document_changes)
+#: What an older contract declares for three of the given tables.
+DECLARED = {
+    "customer": "c_custkey bigint, c_name string, c_phone string, c_nationkey bigint, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey string, o_orderstatus string, o_totalprice double, o_clerk string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def _declared_columns(t):
+    columns = lambda tables: governance.schema_rows(tables, "raw").select("table_name", F.col("column_name").alias("path"), F.col("data_type").alias("type"))
+    declared = columns({n: t.spark.createDataFrame([], ddl) for n, ddl in DECLARED.items()})
+    return schema_census.schema_changes(declared, columns({n: t.spark.read.parquet(f"{t.dir}/{n}.parquet") for n in DECLARED}), ["table_name"])
+
+
+query(
+    "drf2_declared_columns",
+    "WITH declared AS (SELECT * FROM (VALUES "
+    + ", ".join(f"('{n}', '{c.split(' ')[0]}', '{c.split(' ')[1]}')" for n, ddl in DECLARED.items() for c in ddl.split(", "))
+    + ") AS v(table_name, path, type)), actual AS ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS table_name, column_name AS path, column_type AS kind FROM (DESCRIBE {n})" for n in DECLARED)
+    + """), typed AS (SELECT table_name, path, CASE kind WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int'
+      ELSE lower(kind) END AS type FROM actual)
+      SELECT coalesce(o.table_name, n.table_name) AS table_name, coalesce(o.path, n.path) AS path, CASE WHEN o.path IS NULL THEN 'added'
+        WHEN n.path IS NULL THEN 'removed' ELSE 'retyped' END AS change, o.type AS old_type, n.type AS new_type
+      FROM declared o FULL JOIN typed n ON o.table_name = n.table_name AND o.path = n.path WHERE o.type IS DISTINCT FROM n.type""",
+)(_declared_columns)
 CATALOGUED = ["region", "nation", "customer", "orders", "lineitem", "events"]
 query(
     "drf3_catalog",
