@@ -82,6 +82,21 @@ def recent(df: DataFrame, n: int, ts: str, *ties: str) -> DataFrame:
     return df.orderBy(F.desc(ts), *[F.desc(t) for t in ties]).limit(n)
 
 
+INCIDENT = ["entity", "problem", "action_taken", "resolved", "created_at"]
+
+
+def recent_incidents(incidents: DataFrame, n: int = 10) -> DataFrame:
+    """The newest incidents, resolved or not; those of one moment by id, the later first."""
+    return recent(incidents, n, "created_at", "id").select(*INCIDENT)
+
+
+def open_incidents(incidents: DataFrame) -> DataFrame:
+    """Per entity: unresolved incidents, the newest of them and its problem."""
+    last = F.struct("created_at", "id", "problem")
+    grouped = incidents.filter(~F.col("resolved")).groupBy("entity").agg(F.count("*").alias("unresolved"), F.max(last).alias("last"))
+    return grouped.select("entity", "unresolved", F.col("last.created_at").alias("last_at"), F.col("last.problem").alias("last_problem"))
+
+
 # ---- queries and storage -----------------------------------------------------------------------------
 
 

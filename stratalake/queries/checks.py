@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import contracts, governance, integrity, profiling, quality, schema_census
+from stratalake.operators import contracts, governance, history, integrity, profiling, quality, schema_census
 from stratalake.plans import marts, suites
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
@@ -94,6 +94,24 @@ OBSERVED = """SELECT run_date, pipeline, table_name, row_count, prev_count, delt
       WHERE run_date < DATE '2024-01-30' QUALIFY row_number() OVER (PARTITION BY pipeline, table_name ORDER BY run_date DESC) = 1) p
     ON c.pipeline = p.pipeline AND c.table_name = p.table_name))"""
 query("dq3_observability", OBSERVED)(_dq3)
+
+
+def _dq3_stored(t):
+    """Four runs against one stored history: three days, the last of them twice."""
+    path = scratch_path(t.spark, "observability")
+    for day in ("2024-01-28", "2024-01-29", "2024-01-30", "2024-01-30"):
+        counts = t.table_counts.filter(F.col("run_date") == day).select("pipeline", "table_name", "row_count")
+        history.observe_run(counts, path, day)
+    return history.read_history(t.spark, path, history.OBSERVED)
+
+
+query(
+    "dq3_stored_history",
+    """SELECT run_date, pipeline, table_name, row_count, prev_count, delta_pct, CASE WHEN prev_count > 0 AND delta_pct < -25 THEN 'anomaly' ELSE 'ok' END AS status
+      FROM (SELECT *, round(CAST(row_count - prev_count AS DOUBLE) / greatest(prev_count, 1) * 100, 2) AS delta_pct FROM
+        (SELECT run_date, pipeline, table_name, row_count, coalesce(lag(row_count) OVER (PARTITION BY pipeline, table_name ORDER BY run_date), row_count) AS prev_count
+         FROM table_counts WHERE run_date BETWEEN DATE '2024-01-28' AND DATE '2024-01-30'))""",
+)(_dq3_stored)
 query(
     "win7_previous_run",
     """SELECT run_date, pipeline, table_name, row_count, lag(row_count) OVER (PARTITION BY pipeline, table_name ORDER BY run_date) AS prev_count
@@ -814,3 +832,23 @@ query(
     + " UNION ALL ".join(f"SELECT count(*) AS n FROM {n}" for n in GOLD)
     + ")) AS BIGINT) AS gold_tables_rows",
 )(lambda t: governance.log_run(t.gold_tables, ORDERS_AS_OF, "run_1", "daily"))
+
+
+def _mta1_stored(t):
+    """Two daily runs, the second delivered twice, and what the history holds of them."""
+    gold = t.with_dimensions(*t.gold_tables).gold_tables
+    path = scratch_path(t.spark, "runs")
+    for day, run in (("2001-07-31", "run_0"), ("2001-08-01", "run_1"), ("2001-08-01", "run_1")):
+        landed = governance.log_run(gold, day, run, "daily")
+        history.append_run(landed, path, day)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in landed.schema if f.name != history.RUN)
+    return history.latest_runs(history.read_history(t.spark, path, columns), 2)
+
+
+query(
+    "mta1_stored_runs",
+    """SELECT run_date, run_id, 'daily' AS dag_id, (SELECT count(*) FROM fct_orders) AS fct_orders_rows,
+      (SELECT count(*) FROM dim_customers) AS dim_customers_rows, CAST((SELECT sum(n) FROM ("""
+    + " UNION ALL ".join(f"SELECT count(*) AS n FROM {n}" for n in GOLD)
+    + ")) AS BIGINT) AS gold_tables_rows FROM (VALUES (DATE '2001-07-31', 'run_0'), (DATE '2001-08-01', 'run_1')) v(run_date, run_id)",
+)(_mta1_stored)

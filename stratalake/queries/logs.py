@@ -30,6 +30,17 @@ query(
 query("ops4_recent_calls", "SELECT * FROM calls ORDER BY created_at DESC, id DESC LIMIT 50")(
     lambda t: opslog.recent(t.calls, 50, "created_at", "id")
 )
+INCIDENTS = """WITH incidents AS (SELECT event_id AS id, 'user_' || user_id AS entity, 'error ' || json_extract_string(props, '$.k') AS problem,
+  CASE WHEN value < 50 THEN 'retried' END AS action_taken, coalesce(value < 50, false) AS resolved, ts AS created_at FROM events WHERE event_type = 'error')"""
+query("ops4_recent_incidents", INCIDENTS + " SELECT * EXCLUDE (id) FROM incidents ORDER BY created_at DESC, id DESC LIMIT 10")(
+    lambda t: opslog.recent_incidents(t.incidents)
+)
+query(
+    "ops4_open_incidents",
+    INCIDENTS
+    + """ SELECT entity, count(*) AS unresolved, max(created_at) AS last_at, arg_max(problem, (created_at, id)) AS last_problem
+      FROM incidents WHERE NOT resolved GROUP BY 1""",
+)(lambda t: opslog.open_incidents(t.incidents))
 PIVOT = ", ".join(f"coalesce(CAST(sum(total_cost) FILTER (agent = '{a}') AS DOUBLE), 0.0) AS {a}" for a in AGENTS)
 query("ops10_cost_pivot", f"SELECT CAST(created_at AS DATE) AS day, {PIVOT} FROM priced_calls GROUP BY 1")(
     lambda t: opslog.cost_pivot(t.calls, AGENTS)

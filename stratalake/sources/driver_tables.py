@@ -402,6 +402,19 @@ class DriverTables:
             ).alias("log"),
         )
 
+    @cached_property
+    def incidents(self) -> DataFrame:
+        """Incidents of the service: error events; low ones resolve themselves."""
+        low = F.col("value") < 50
+        return self.table("events").filter(F.col("event_type") == "error").select(
+            F.col("event_id").alias("id"),
+            F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("entity"),
+            F.concat(F.lit("error "), F.get_json_object("props", "$.k")).alias("problem"),
+            F.when(low, F.lit("retried")).alias("action_taken"),
+            F.coalesce(low, F.lit(False)).alias("resolved"),
+            F.col("ts").alias("created_at"),
+        )
+
     @cached_property
     def table_counts(self) -> DataFrame:
         """Row counts per run date and table: the events of each kind per day."""
