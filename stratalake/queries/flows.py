@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import incremental as inc
 from stratalake.operators.dedup import dedup_latest
-from stratalake.operators.quality import union_all
 from stratalake.plans import gold, loads, marts, silver
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
-from stratalake.sources import files, landing, sinks, versioned
+from stratalake.sources import bucketed, files, landing, sinks, versioned
 from stratalake.sources.driver_tables import BROKEN_MESSAGES, EVENTS_AS_OF, ORDERS_AS_OF, SCHEMAS, DriverTables
 from stratalake.streaming import cdc, enrichment, events
 
@@ -268,6 +267,23 @@ def _fct5_target(t):
 
 query("fct5_with_target", "SELECT * FROM mart_enrichment")(_fct5_target)
 query("inc1_versioned_table", _upsert_sql("date_trunc('hour', max(updated_at))", ">="))(_versioned)
+
+
+def _bucketed(t, first, changes, keys, combine):
+    """A bucketed table of ``first``, the changes merged twice under one batch id, read back."""
+    path = scratch_path(t.spark, "bucketed")
+    bucketed.create(first, path, keys)
+    for _ in range(2):
+        bucketed.merge(changes, path, first, keys, combine, 1)
+    return bucketed.read(t.spark, path, first, keys)
+
+
+def _bucket_upsert(t):
+    target, source = _halves(t)
+    return _bucketed(t, target, inc.new_rows(source, target, "updated_at"), ["order_id"], lambda old, new: inc.delete_insert(old, new, ["order_id"]))
+
+
+query("inc1_bucket_merge", _upsert_sql("date_trunc('hour', max(updated_at))", ">="))(_bucket_upsert)
 query("inc2_plain_lookback", _upsert_sql("max(updated_at)", ">="))(
     lambda t: inc.incremental_upsert(*_halves(t), ["order_id"], "updated_at", floor=None)
 )
@@ -313,15 +329,26 @@ def _inc6(t):
     return inc.apply_cdc(target, changes, ["customer_id"], ["updated_at", "lsn"], "_ab_cdc_deleted_at")
 
 
-query(
-    "inc6_apply_cdc",
+APPLIED = (
     f""", ranked AS (SELECT *, row_number() OVER (PARTITION BY customer_id, updated_at >= TIMESTAMP '{CUT}'
         ORDER BY updated_at DESC, lsn DESC) AS rn FROM customer_changes),
       fresh AS (SELECT * FROM ranked WHERE rn = 1 AND updated_at >= TIMESTAMP '{CUT}')
       SELECT customer_id, segment, updated_at FROM ranked WHERE rn = 1 AND updated_at < TIMESTAMP '{CUT}'
         AND customer_id NOT IN (SELECT customer_id FROM fresh)
-      UNION ALL SELECT customer_id, segment, updated_at FROM fresh WHERE _ab_cdc_deleted_at IS NULL""",
-)(_inc6)
+      UNION ALL SELECT customer_id, segment, updated_at FROM fresh WHERE _ab_cdc_deleted_at IS NULL"""
+)
+query("inc6_apply_cdc", APPLIED)(_inc6)
+
+
+def _inc6_buckets(t):
+    """The same images on a bucketed table."""
+    columns = ["customer_id", "segment", "updated_at"]
+    target = dedup_latest(t.customer_changes.filter(F.col("updated_at") < CUT), ["customer_id"], ["updated_at", "lsn"]).select(*columns)
+    changes = t.customer_changes.filter(F.col("updated_at") >= CUT)
+    return _bucketed(t, target, changes, ["customer_id"], lambda old, new: inc.apply_cdc(old, new, ["customer_id"], ["updated_at", "lsn"], "_ab_cdc_deleted_at"))
+
+
+query("inc6_bucket_cdc", APPLIED)(_inc6_buckets)
 query(
     "inc7_retention",
     """SELECT 'facts' AS kind, order_id FROM fct_orders WHERE order_date > TIMESTAMP '2001-08-01' - INTERVAL 365 DAY

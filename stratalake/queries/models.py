@@ -9,7 +9,8 @@ from stratalake.operators import integrity, scd
 from stratalake.operators.dedup import collapse_versions, dedup_latest, last_n
 from stratalake.plans import marts, recipes, semantic, silver
 from stratalake.queries.registry import query
-from stratalake.sources import bronze
+from stratalake.session import scratch_path
+from stratalake.sources import bronze, bucketed
 from stratalake.sources.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF
 
 # ---- bronze ------------------------------------------------------------------------------------------
@@ -98,8 +99,7 @@ def _scd2_merge(t):
     return scd.scd2_merge(dim, t.customer_changes.filter(F.col("updated_at") >= SPLIT), "customer_id", TRACKED)
 
 
-query(
-    "scd2_merge",
+MERGED = (
     f""", marked AS (SELECT *, lag(segment || '/' || country) OVER w AS before FROM customer_changes
         WHERE updated_at < TIMESTAMP '{SPLIT}' WINDOW w AS (PARTITION BY customer_id ORDER BY updated_at, lsn)),
       starts AS (SELECT * FROM marked WHERE before IS NULL OR before <> segment || '/' || country),
@@ -114,8 +114,24 @@ query(
         CASE WHEN d.is_current = 1 AND c.customer_id IS NOT NULL THEN c.updated_at ELSE d.valid_to END AS valid_to,
         CASE WHEN c.customer_id IS NOT NULL THEN 0 ELSE d.is_current END AS is_current
       FROM dim d LEFT JOIN changed c ON d.customer_id = c.customer_id
-      UNION ALL SELECT customer_id, email, segment, country, updated_at, TIMESTAMP '9999-12-31 23:59:59', 1 FROM changed""",
-)(_scd2_merge)
+      UNION ALL SELECT customer_id, email, segment, country, updated_at, TIMESTAMP '9999-12-31 23:59:59', 1 FROM changed"""
+)
+query("scd2_merge", MERGED)(_scd2_merge)
+
+
+def _scd2_buckets(t):
+    """The same merge on a bucketed dimension, delivered twice."""
+    first = t.customer_changes.filter(F.col("updated_at") < SPLIT)
+    dim = scd.scd2_history(first, "customer_id", TRACKED, "updated_at", "lsn").select("customer_id", *TRACKED, "valid_from", "valid_to", "is_current")
+    path = scratch_path(t.spark, "dimension")
+    bucketed.create(dim, path, ["customer_id"])
+    for _ in range(2):
+        changes = t.customer_changes.filter(F.col("updated_at") >= SPLIT)
+        bucketed.merge(changes, path, dim, ["customer_id"], lambda old, new: scd.scd2_merge(old, new, "customer_id", TRACKED), 1)
+    return bucketed.read(t.spark, path, dim, ["customer_id"])
+
+
+query("scd2_bucket_merge", MERGED)(_scd2_buckets)
 query("scd3_collapse_versions", "SELECT * FROM mart_enrichment")(
     lambda t: collapse_versions(t.products_enriched, ["product_id"], "enriched_at")
 )
