@@ -13,7 +13,7 @@ from stratalake.queries.registry import query
 from stratalake.session import scratch_path
 from stratalake.sources import bucketed, files, landing, sinks, versioned
 from stratalake.sources.driver_tables import BROKEN_MESSAGES, EVENTS_AS_OF, ORDERS_AS_OF, SCHEMAS, DriverTables
-from stratalake.streaming import cdc, enrichment, events
+from stratalake.streaming import cdc, enrichment, events, sketches
 
 ENRICHED_AT = "2001-08-01 00:00:00"
 
@@ -548,6 +548,33 @@ def _str11(t):
 
 
 query("str11_streaming_dau", "SELECT * FROM fct_dau")(_str11)
+ROLLED = (7, 28)
+ALLOWED_ERROR = 0.03
+
+
+def _str11_sketches(t):
+    """Streamed day sketches, merged over 7 and 28 days, beside the exact counts: the exact count and whether the estimate is within 3%."""
+    path = land_events(t, copies=1)
+    target = run_stream(t, sketches.streaming_day_sketches(event_stream(t, path)), mode="update")
+    days = sketches.read_day_sketches(t.spark, target)
+    out = None
+    for length in ROLLED:
+        exact = sketches.exact_rolling_actives(t.table("events").withColumnRenamed("ts", "occurred_at"), length)
+        both = exact.join(sketches.rolling_actives(days, length), "event_date", "left")
+        near = F.coalesce(F.abs(F.col("actives") - F.col("exact")) <= ALLOWED_ERROR * F.col("exact"), F.lit(False))
+        flagged = both.select("event_date", F.col("exact").alias(f"exact_{length}"), near.alias(f"near_{length}"))
+        out = flagged if out is None else out.join(flagged, "event_date")
+    return out
+
+
+query(
+    "str11_sketched_actives",
+    """SELECT d.event_date, """
+    + ", ".join(
+        f"(SELECT count(DISTINCT user_id) FROM events e WHERE CAST(e.ts AS DATE) BETWEEN d.event_date - {n - 1} AND d.event_date) AS exact_{n}, true AS near_{n}" for n in ROLLED
+    )
+    + " FROM (SELECT DISTINCT CAST(ts AS DATE) AS event_date FROM events) d",
+)(_str11_sketches)
 
 
 def _str12(t):
