@@ -33,7 +33,7 @@ STAY, PRIOR, NEXT = 0.9, 50.0, 1.0
 SEED = 13
 #: Tokens of texts worked off side by side, of a section, and those at the texts' beginnings whose forward values are held; bytes of
 #: text between two parts of a task's word counts.
-CHUNK, SECTION, HELD, COUNTED = 1 << 22, 1 << 19, 1 << 21, 1 << 25
+CHUNK, SECTION, HELD, COUNTED = 1 << 22, 1 << 18, 1 << 20, 1 << 25
 #: Words a task remembers.
 REMEMBERED = 500_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
