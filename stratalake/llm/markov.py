@@ -36,6 +36,8 @@ SEED = 13
 CHUNK, SECTION, HELD, COUNTED = 1 << 22, 1 << 18, 1 << 20, 1 << 25
 #: Words a task remembers.
 REMEMBERED = 500_000
+#: Tokens of a partition of texts of about the same length.
+PART = 1 << 21
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: The end of a text is counted as the empty word.
 END = ""
@@ -307,6 +309,20 @@ def encoded(docs: DataFrame, classes: Classes, doc_id: str, text: str, held: Col
     return narrow.mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, codes binary, others array<struct<word:string,n:long>>")
 
 
+def by_length(texts: DataFrame, tokens: int = PART) -> DataFrame:
+    """The same rows, those of about the same length in the same partitions of about ``tokens`` tokens.
+
+    A task works off its texts side by side, so it takes as many steps as its longest text has places; apart from the others, long
+    texts do not hold up short ones.
+    """
+    size = F.octet_length("codes") / 2
+    sized = texts.withColumn("size", size).withColumn("level", F.floor(F.log2("size")))
+    parts = sized.groupBy("level").agg(F.ceil(F.sum("size") / tokens).alias("parts"))
+    total = parts.agg(F.sum("parts")).first()[0] or 1
+    dealt = sized.join(parts, "level").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+    return dealt.repartition(int(total), "level", "part").select(*texts.columns)
+
+
 def train(learning: DataFrame, share: np.ndarray, states: int = STATES, passes: int = PASSES) -> tuple[Model, list[float]]:
     """Baum-Welch over a column ``codes``: the model, and the log-probability before each pass.
 
@@ -346,8 +362,8 @@ def train(learning: DataFrame, share: np.ndarray, states: int = STATES, passes:
     return model, history
 
 
-def scored(texts: DataFrame, counts: Counts, model: Model) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for encoded texts."""
+def scored(texts: DataFrame, others: DataFrame, counts: Counts, model: Model) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for encoded texts; ``others``: their key and other words."""
     kind = texts.schema["doc_id"].dataType.simpleString()
     known, log_count, log_members = counts.known, counts.log_count, counts.log_members
 
@@ -362,8 +378,8 @@ def scored(texts: DataFrame, counts: Counts, model: Model) -> DataFrame:
             yield from table_.combine_chunks().to_batches()
 
     of_states = texts.select("key", "doc_id", "held_out", "codes").mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, counted double, score double")
-    others = texts.select("key", F.inline("others")).withColumnRenamed("n", "times")
-    looked_up = others.join(counts.table, "word", "left").groupBy("key").agg(
+    words_of = others.select("key", F.inline("others")).withColumnRenamed("n", "times")
+    looked_up = words_of.join(counts.table, "word", "left").groupBy("key").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("more_counted")
     )
     more = F.coalesce("more_counted", F.lit(0.0))
@@ -390,8 +406,9 @@ def language_model_scores(
     held = F.coalesce(held, F.lit(False))
     counts = count(docs.filter(~held).select(F.col(text).alias("text")), frequent, rare)
     texts = stored(encoded(chosen, counts.classes, "doc_id", "text", held), "encoded")
-    model, _ = train(texts.filter("not held_out"), counts.share, states, passes)
-    return scored(texts, counts, model)
+    dealt = stored(by_length(texts.select("key", "doc_id", "held_out", "codes")), "dealt")
+    model, _ = train(dealt.filter("not held_out"), counts.share, states, passes)
+    return scored(dealt, texts.select("key", "others"), counts, model)
 
 
 def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,7 +120,7 @@ def test_score_is_the_probability_of_classes_and_of_words_in_them(llm, documents
             if code > 15:
                 total += math.log10((plain[w] + 1) / (sum(plain[m] for m in members[code]) + len(members[code]) + 1))
         expected.append((str(i), total))
-    found = sorted((str(r.doc_id), r.score) for r in markov.scored(texts, counts, model).collect())
+    found = sorted((str(r.doc_id), r.score) for r in markov.scored(texts, texts, counts, model).collect())
     assert [f[0] for f in found] == [e[0] for e in sorted(expected)]
     assert np.allclose([f[1] for f in found], [e[1] for e in sorted(expected)], rtol=1e-9)
     assert np.allclose(model.emit.sum(axis=0), 1) and np.allclose(model.move.sum(axis=1), 1) and np.isclose(model.start.sum(), 1)
@@ -137,6 +137,16 @@ def test_parts_of_a_task_add_up(llm, documents, monkeypatch, chunk):
     assert np.allclose(np.array(sorted(whole, key=str)[:-1], float), np.array(sorted(parts, key=str)[:-1], float))
 
 
+def test_texts_of_a_length_are_dealt_together(llm):
+    rows = [(k, bytes(2 * (1 + k % 3) * (100 if k % 10 == 0 else 1))) for k in range(200)]
+    texts = llm.createDataFrame(rows, "key long, codes binary")
+    dealt = markov.by_length(texts, 300)
+    assert sorted(map(tuple, dealt.collect())) == rows
+    sizes = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("codes") / 2).alias("n")).collect()
+    assert len(sizes) > 5 and max(r.n for r in sizes) < 2500
+    assert markov.by_length(texts.limit(0)).count() == 0
+
+
 def test_nothing_to_learn_from(llm, documents):
     assert markov.language_model_scores(documents([]), F.lit(False)).collect() == []
     held = markov.language_model_scores(documents([(1, "a b"), (2, None)]), F.lit(True)).collect()
