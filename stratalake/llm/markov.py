@@ -34,6 +34,8 @@ SEED = 13
 #: Tokens of texts worked off side by side, of a section, and those at the texts' beginnings whose forward values are held; bytes of
 #: text between two parts of a task's word counts.
 CHUNK, SECTION, HELD, COUNTED = 1 << 22, 1 << 18, 1 << 20, 1 << 25
+#: Texts worked off side by side at most: a place's products stay in the cache, and below the size from which numpy starts threads.
+LANES = 4_096
 #: Words a task remembers.
 REMEMBERED = 500_000
 #: Tokens of a partition of texts of about the same length.
@@ -223,6 +225,14 @@ def _chunks(batches, column: int):
         yield pa.Table.from_batches(rows), texts
 
 
+def _side_by_side(texts: list[np.ndarray]):
+    """Places of up to ``LANES`` texts of about the same length, and their lanes."""
+    order = np.argsort([-len(t) for t in texts], kind="stable")
+    for at in range(0, len(order), LANES):
+        some = order[at : at + LANES]
+        yield some, Lanes.of([texts[k] for k in some])
+
+
 def word_counts(docs: DataFrame, rare: int = RARE, text: str = "text") -> DataFrame:
     """``(word, class, n)`` of all words and of the end (the empty word); counted in the tasks before the shuffle."""
     schema = pa.schema([("word", pa.string()), ("class", pa.int32()), ("n", pa.int64())])
@@ -337,9 +347,10 @@ def train(learning: DataFrame, share: np.ndarray, states: int = STATES, passes:
         def run(batches):
             first, moved, emitted, total = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit), 0.0
             for _, texts in _chunks(batches, 0):
-                for whole, some in zip((first, moved, emitted), found := model.expected(Lanes.of(texts))):
-                    whole += some
-                total += found[3]
+                for _, lanes in _side_by_side(texts):
+                    for whole, some in zip((first, moved, emitted), found := model.expected(lanes)):
+                        whole += some
+                    total += found[3]
             if not first.any():
                 return
             # Rows below zero: the log-probability, the first states, the moves from each state.
@@ -369,7 +380,9 @@ def scored(texts: DataFrame, others: DataFrame, counts: Counts, model: Model) ->
 
     def run(batches):
         for rows, found in _chunks(batches, 3):
-            log10 = model.log_probability(Lanes.of(found)) / np.log(10)
+            log10 = np.empty(len(found))
+            for some, lanes in _side_by_side(found):
+                log10[some] = model.log_probability(lanes) / np.log(10)
             log10 -= [log_members[c].sum() for c in found]
             columns = [pa.array([len(c) for c in found], pa.int64()), pa.array([int(known[c].sum()) for c in found], pa.int64()), pa.array([log_count[c].sum() for c in found]), pa.array(log10)]
             table_ = rows.drop_columns(["codes"])
