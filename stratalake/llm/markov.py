@@ -131,8 +131,8 @@ class Model:
     def forward(self, lanes: Lanes, first: int, last: int, before: np.ndarray | None):
         """Emissions, scaled forward values and scales of the places from ``first`` up to ``last``."""
         base = lanes.starts[first]
-        emitted = self.emit[lanes.codes[base : lanes.starts[last]]]
-        values, scales = np.empty_like(emitted), np.empty(len(emitted))
+        emitted = np.take(self.emit, lanes.codes[base : lanes.starts[last]], axis=0)
+        values, scales, ones = np.empty_like(emitted), np.empty(len(emitted)), np.ones(len(self.start))
         a = b = 0
         for n in lanes.active[first:last].tolist():
             b = a + n
@@ -142,7 +142,7 @@ class Model:
             else:
                 np.matmul(before[:n], self.move, out=now)
                 now *= emitted[a:b]
-            np.sum(now, axis=1, out=scale)
+            np.matmul(now, ones, out=scale)  # sums of short rows
             now /= scale[:, None]
             before, a = now, b
         return emitted, values, scales, before
@@ -174,7 +174,7 @@ class Model:
             if values is None:
                 emitted, values, scales, _ = self.forward(lanes, first, last, border)
             else:
-                emitted = self.emit[lanes.codes[lanes.starts[first] : lanes.starts[last]]]
+                emitted = np.take(self.emit, lanes.codes[lanes.starts[first] : lanes.starts[last]], axis=0)
             total += np.log(scales).sum()
             ratio = emitted / scales[:, None]
             backward = np.ones_like(values)
@@ -189,8 +189,8 @@ class Model:
                 b = a
             values *= backward
             codes = lanes.codes[lanes.starts[first] : lanes.starts[last]]
-            for k in range(values.shape[1]):
-                emitted_sum[:, k] += np.bincount(codes, values[:, k], len(emitted_sum))
+            for k, of_state in enumerate(np.ascontiguousarray(values.T)):
+                emitted_sum[:, k] += np.bincount(codes, of_state, len(emitted_sum))
         return values[: lanes.active[0]].sum(axis=0), moved * self.move, emitted_sum, total
 
     @classmethod

@@ -160,3 +160,18 @@ def test_ids_of_any_type(llm):
     docs = llm.createDataFrame([("x", "a b"), ("y", "a")], "doc_id string, text string")
     found = markov.language_model_scores(docs, F.lit(False), states=1, passes=1)
     assert found.schema["doc_id"].dataType.simpleString() == "string" and found.count() == 2
+
+
+def test_groups_of_texts_add_up_to_the_whole(monkeypatch):
+    monkeypatch.setattr(markov, "LANES", 3)
+    rng, model = np.random.default_rng(5), random_model(4, 3)
+    texts = [rng.integers(0, 4, n).astype("<u2") for n in (3, 1, 40, 5, 5, 2, 9, 1)]
+    groups = list(markov._side_by_side(texts))
+    assert [len(g) for g, _ in groups] == [3, 3, 2] and sorted(k for g, _ in groups for k in g) == list(range(8))
+    whole, scores = model.expected(Lanes.of(texts)), np.empty(8)
+    parts = [model.expected(lanes) for _, lanes in groups]
+    for k in range(4):
+        assert np.allclose(sum(p[k] for p in parts), whole[k])
+    for some, lanes in groups:
+        scores[some] = model.log_probability(lanes)
+    assert np.allclose(scores, model.log_probability(Lanes.of(texts)))
