@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import contracts, governance, history, integrity, profiling, quality, schema_census
+from stratalake.operators import contracts, frequent, governance, history, integrity, profiling, quality, schema_census
 from stratalake.plans import marts, suites
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
@@ -482,6 +482,30 @@ query(
 )(lambda t: _shape(profiling.profile(t.dim_customers, "dim_customers")))
 
 
+FREQUENT = {
+    "customer": ["c_name", "c_mktsegment", "c_nationkey"], "supplier": ["s_name", "s_nationkey"], "part": ["p_name", "p_brand", "p_type", "p_size"],
+    "orders": ["o_custkey", "o_orderstatus", "o_orderpriority"], "lineitem": ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"],
+    "events": ["user_id", "event_type"], "documents": ["lang", "source", "text"], "conversations": ["role", "text"],
+}
+
+
+def _frequent(t):
+    """The most frequent values of text, key and code columns of the given tables."""
+    parts = [frequent.frequent_values(t.table(n), columns).withColumn("table_name", F.lit(n)) for n, columns in FREQUENT.items()]
+    return quality.union_all(parts).select("table_name", "column_name", "value", "rows")
+
+
+query(
+    "prf1_frequent_values",
+    " UNION ALL ".join(
+        f"""(SELECT '{table}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS rows FROM {table}
+          GROUP BY {c} ORDER BY 4 DESC, 3 NULLS FIRST LIMIT 5)"""
+        for table, columns in FREQUENT.items()
+        for c in columns
+    ),
+)(_frequent)
+
+
 def _stats_sql() -> str:
     parts = []
     for c, dtype in ORDERS.items():

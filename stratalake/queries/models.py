@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import dates, text, values
 from stratalake.operators import integrity, scd
 from stratalake.operators.dedup import collapse_versions, dedup_latest, last_n
+from stratalake.operators.frequent import frequent_values
 from stratalake.plans import marts, recipes, semantic, silver
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
@@ -694,13 +695,12 @@ def _top4(t):
     return top_values(value_counts(t.stg_customers, ["segment", "country", "city"]))
 
 
-query(
-    "top4_values_per_column",
-    " UNION ALL ".join(
-        f"(SELECT '{c}' AS column_name, {c} AS value, count(*) AS rows FROM stg_customers GROUP BY {c} ORDER BY 3 DESC, 2 NULLS FIRST LIMIT 5)"
-        for c in ("segment", "country", "city")
-    ),
-)(_top4)
+VALUES = " UNION ALL ".join(
+    f"(SELECT '{c}' AS column_name, {c} AS value, count(*) AS rows FROM stg_customers GROUP BY {c} ORDER BY 3 DESC, 2 NULLS FIRST LIMIT 5)"
+    for c in ("segment", "country", "city")
+)
+query("top4_values_per_column", VALUES)(_top4)
+query("top4_values_in_two_passes", VALUES)(lambda t: frequent_values(t.stg_customers, ["segment", "country", "city"]))
 query(
     "top5_last_messages",
     "SELECT * FROM messages QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY created_at DESC, turn DESC) <= 3",
