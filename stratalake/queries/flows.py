@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.operators import incremental as inc
+from stratalake.operators import quality
 from stratalake.operators.dedup import dedup_latest
 from stratalake.plans import gold, loads, marts, silver
 from stratalake.queries.registry import query
 from stratalake.session import scratch_path
-from stratalake.sources import bucketed, files, landing, sinks, versioned
+from stratalake.sources import bucketed, curve, files, landing, sinks, versioned
 from stratalake.sources.driver_tables import BROKEN_MESSAGES, EVENTS_AS_OF, ORDERS_AS_OF, SCHEMAS, DriverTables
 from stratalake.streaming import cdc, enrichment, events, sketches
 
@@ -181,6 +182,31 @@ def _snk8(t):
 
 query("snk8_write_clustered", "SELECT order_id, order_date_day, order_month, CAST(revenue AS DOUBLE) AS revenue FROM fct_orders")(_snk8)
 
+CURVE = {"ship_date": ("1998-01-01", "1998-03-31"), "l_quantity": (20.0, 22.0), "l_extendedprice": (40_000.0, 45_000.0)}
+
+
+def _snk8_curve(t):
+    """One range of each of three keys from one layout: rows, their quantity, and whether at most half of the folders are read."""
+    rows = t.table("lineitem").select(F.col("l_shipdate").cast("date").alias("ship_date"), "l_quantity", "l_extendedprice")
+    path, keys = curve.write_curve(rows, scratch_path(t.spark, "curve"), list(CURVE)), list(CURVE)
+    parts = []
+    for key, (low, high) in CURVE.items():
+        ends = tuple(F.lit(e).cast(rows.schema[key].dataType) for e in (low, high))
+        found = curve.read_range(t.spark, path, rows.schema, keys, {key: ends})
+        touched = curve.touched_parts(t.spark, path, keys, {key: ends}).agg((F.count("*") <= curve.PARTS / 2).alias("few")).scalar()
+        parts.append(found.agg(F.lit(key).alias("key"), F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity")).withColumn("few_folders", touched))
+    return quality.union_all(parts)
+
+
+query(
+    "snk8_curve_ranges",
+    " UNION ALL ".join(
+        f"""SELECT '{key}' AS key, count(*) AS rows, sum(l_quantity) AS quantity, true AS few_folders FROM lineitem
+          WHERE {'CAST(l_shipdate AS DATE)' if key == 'ship_date' else key} BETWEEN '{low}' AND '{high}'"""
+        for key, (low, high) in CURVE.items()
+    ),
+)(_snk8_curve)
+
 # ---- incremental -------------------------------------------------------------------------------------
 
 CUT = "2000-01-01"
