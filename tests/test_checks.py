@@ -1,6 +1,7 @@
 """Quality checks, profiles, contracts, governance."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -230,3 +231,28 @@ def test_schema_evolution_keeps_removed_columns_in_the_snapshot(spark):
     assert content(governance.next_snapshot(now, then)) == [("t", "a"), ("t", "b"), ("t", "gone")]
     assert [r.column_name for r in governance.drift_alerts(evolution, "src", "2024-01-01").collect()] == ["gone"]
     assert content(governance.schema_drift(then, now)) == [("t", "b", "gone")]
+
+
+def test_exact_stats_of_many_values(spark):
+    """More rows than a sketch keeps apart, frequent values at a percentile, nulls, negative numbers, a column without values."""
+    number = F.when(F.col("id") % 7 == 0, None).otherwise((F.col("id") * 7919) % 60013 - 30000)
+    df = spark.range(60000).select(
+        number.alias("n"), F.when(F.col("id") < 6000, 1).otherwise(F.col("id")).alias("few"), F.lit(None).cast("double").alias("none"),
+        (F.col("id") % 30000).cast("string").alias("t"), (F.col("id") % 3).cast("string").alias("u"),
+    )
+    out = {r.column_name: r for r in profiling.profile_stats(df, exact=True).collect()}
+    values = sorted(i * 7919 % 60013 - 30000 for i in range(60000) if i % 7)
+    at = lambda share: float(values[math.ceil(share * len(values)) - 1])
+    assert (out["n"].cardinality, out["n"].p5, out["n"].p95) == (len(set(values)), at(0.05), at(0.95))
+    assert (out["few"].cardinality, out["few"].p5, out["few"].p95) == (54001, 1.0, 56999.0)
+    assert (out["none"].cardinality, out["none"].p5, out["none"].null_pct) == (0, None, 100.0)
+    assert (out["t"].cardinality, out["t"].top_values, out["u"].cardinality, out["u"].top_values) == (30000, None, 3, "0 | 1 | 2")
+    empty = profiling.profile_stats(df.limit(0), exact=True).collect()
+    assert {(r.row_count, r.cardinality, r.p5) for r in empty} == {(0, 0, None)}
+
+
+def test_exact_stats_keep_sketches_out_of_groups(spark):
+    """Percentiles are found apart from the distinct values, so no group of values carries a sketch."""
+    df = spark.range(10).select("id", F.col("id").cast("string").alias("t"))
+    text = profiling.profile_stats(df, exact=True)._jdf.queryExecution().executedPlan().toString()
+    assert "gid" not in text and "1000000" not in text
