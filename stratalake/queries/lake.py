@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,11 +55,11 @@ class Lake(DriverTables):
         lambda self: profile360.unified_customers(self.dim_customers, self.dim_users, self.fct_orders, ORDERS_AS_OF)
     )
 
-    def stored(self, root: str, names: list[str]) -> Lake:
+    def stored(self, root: str, names: list[str], columns: Mapping[str, Sequence[str]] | None = None) -> Lake:
         """A lake whose named tables are written below ``root`` and read from there.
 
         Name them in dependency order: every table is built on the ones written before it. Tables that this lake reads from
-        somewhere already stay as they are.
+        somewhere already stay as they are. ``columns`` names the columns to write of a table that is read for few of them.
         """
         out = type(self)(self.spark, self.dir)
         out.written = dict(self.written)
@@ -66,6 +67,7 @@ class Lake(DriverTables):
         for name in names:
             if name not in out.written:
                 df = getattr(out, name)
+                df = df.select(*columns[name]) if columns and name in columns else df
                 df.write.mode("overwrite").parquet(f"{root}/{name}")
                 out.__dict__[name] = out.written[name] = self.spark.read.schema(df.schema).parquet(f"{root}/{name}")
         return out

@@ -11,9 +11,11 @@ from stratalake.operators.dedup import dedup_latest
 from stratalake.operators.integrity import orphans
 from stratalake.operators.scd import scd2_history
 from stratalake.plans import marts, suites
+from stratalake.queries import checks
 from stratalake.queries.lake import Lake
 from stratalake.queries.models import _tables
 from stratalake.plans import semantic
+from stratalake.session import scratch_path
 from stratalake.operators.tagging import tag_intent
 
 LIBRARY = pathlib.Path(__file__).parent.parent / "stratalake"
@@ -140,3 +142,9 @@ def test_row_counts_of_files_read_no_column(lake, spark):
 
     text = plan(files.rows_by_file(spark, lake.dir))
     assert text.count("FileScan") == 1 and "ReadSchema: struct<>" in text
+
+
+def test_marts_are_tested_without_writing_the_purchase_orders(lake):
+    assert "fct_procurement" not in checks.SHARED
+    stored = lake.stored(scratch_path(lake.spark, "shared"), ["dim_customers", "dim_products", "fct_orders"], {"fct_orders": checks.ORDER_COLUMNS})
+    assert stored.fct_orders.columns == checks.ORDER_COLUMNS and stored.fct_orders.count() == lake.fct_orders.count()
