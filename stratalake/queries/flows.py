@@ -493,15 +493,16 @@ query("str4_run_continuous", ALL_MESSAGES + " SELECT * FROM msg")(_str4)
 
 def classify_by_name(products: pd.DataFrame) -> pd.DataFrame:
     """Stand-in for an external classifier; it refuses batches that hold an expensive product."""
-    if (products["price"] > 1800).any():
+    names, prices = products["name"].tolist(), products["price"].tolist()
+    if any(p > 1800 for p in prices):
         raise RuntimeError("classifier unavailable")
     return pd.DataFrame(
         {
-            "product_id": products["product_id"],
-            "sentiment": ["positive" if n.startswith("s") else "neutral" for n in products["name"]],
-            "quality_tier": ["premium" if p > 100 else "standard" for p in products["price"]],
-            "enriched_category": products["category"].str.lower(),
-            "keywords": [n.split(" ") for n in products["name"]],
+            "product_id": products["product_id"].tolist(),
+            "sentiment": ["positive" if n.startswith("s") else "neutral" for n in names],
+            "quality_tier": ["premium" if p > 100 else "standard" for p in prices],
+            "enriched_category": [c if pd.isna(c) else c.lower() for c in products["category"].tolist()],
+            "keywords": [n.split(" ") for n in names],
         }
     )
 
@@ -509,7 +510,7 @@ def classify_by_name(products: pd.DataFrame) -> pd.DataFrame:
 def _str5(t):
     """Classification one product at a time, so that a refusal concerns that product only."""
     rows = cdc.latest_in_batch(cdc.unwrap_cdc(t.cdc_messages))
-    return enrichment.enrich_products(rows, classify_by_name, batch_size=1)
+    return enrichment.enrich_products(rows, classify_by_name, batch_size=1, tasks=2 * t.spark.sparkContext.defaultParallelism)
 
 
 query(

@@ -21,6 +21,7 @@ DEFAULT_SENTIMENT, DEFAULT_TIER, DEFAULT_CATEGORY = "neutral", "standard", "Unkn
 MAX_TAGS = 5
 CLASSIFY_BATCH = 10
 ENRICHED = "product_id bigint, sentiment string, quality_tier string, enriched_category string, keywords array<string>"
+ANSWER = ["product_id", "sentiment", "quality_tier", "enriched_category", "keywords"]
 MART_COLUMNS = [
     "product_id", "product_name", "original_category", "enriched_category", "sentiment", "quality_tier", "keywords", "enriched_at",
 ]
@@ -44,12 +45,15 @@ def _defaults(products: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def enrich_products(products: DataFrame, classify: Classifier | None = None, batch_size: int = CLASSIFY_BATCH) -> DataFrame:
+def enrich_products(
+    products: DataFrame, classify: Classifier | None = None, batch_size: int = CLASSIFY_BATCH, tasks: int | None = None
+) -> DataFrame:
     """Sentiment, tier, finer category and tags per product.
 
     ``classify`` gets at most ``batch_size`` products at a time as a pandas frame (product_id, name,
-    category, price); a call that fails gives the defaults for its products. Without a classifier the
-    price rule runs as plain columns.
+    category, price); a call that fails gives the defaults for its products. Calls take long and rows are small, so
+    ``tasks`` deals the products out over that many tasks, however few bytes they have. Without a classifier the price
+    rule runs as plain columns.
     """
     if classify is None:
         return products.select(
@@ -62,15 +66,21 @@ def enrich_products(products: DataFrame, classify: Classifier | None = None, bat
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            answers = {c: [] for c in ANSWER}
             for start in range(0, len(batch), batch_size):
                 part = batch.iloc[start : start + batch_size]
                 try:
-                    answer = classify(part)[["product_id", "sentiment", "quality_tier", "enriched_category", "keywords"]]
+                    answer = classify(part)
+                    values = [answer[c].tolist() for c in ANSWER]
                 except Exception:  # an external call: any failure means defaults, the stream goes on
                     answer = _defaults(part)
-                yield answer
+                    values = [answer[c].tolist() for c in ANSWER]
+                for c, given in zip(ANSWER, values):
+                    answers[c].extend(given)
+            yield pd.DataFrame(answers)  # together: a hand-over costs more than many small calls
 
-    return products.select("product_id", "name", "category", "price").mapInPandas(run, ENRICHED)
+    asked = products.select("product_id", "name", "category", "price")
+    return (asked.repartition(tasks, "product_id") if tasks else asked).mapInPandas(run, ENRICHED)
 
 
 def attach_raw(enriched: DataFrame, raw: DataFrame, enriched_at) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,19 @@ def test_copies_are_dropped_across_batches(spark):
     stream = events.streaming_dedup(stream_of(spark, [rows, rows[5:] + [(99, 1, "login", moment)]]))
     cdc.run_available(stream, cdc.foreach_batch_upsert(target), scratch_path(spark, "checkpoint"))
     assert sorted(r.event_id for r in spark.read.parquet(target).collect()) == [*range(10), 99]
+
+
+def test_answers_are_handed_on_together_and_dealt_out(spark):
+    def classify(products):
+        if len(products) > 1 or products["price"].iloc[0] > 90:
+            raise RuntimeError("one cheap product at a time")
+        return products[["product_id"]].assign(sentiment="positive", quality_tier="standard", enriched_category=None, keywords=[["k"]])
+
+    products = spark.range(100).coalesce(1).selectExpr("id AS product_id", "'n' AS name", "'A' AS category", "double(id) AS price")
+    out = enrichment.enrich_products(products, classify, batch_size=1, tasks=8)
+    assert out.rdd.getNumPartitions() == 8
+    answers = {r.product_id: (r.sentiment, r.enriched_category, r.keywords) for r in out.collect()}
+    assert answers == {i: ("neutral", "A", []) if i > 90 else ("positive", None, ["k"]) for i in range(100)}
+    taken = lambda rows: [pd.DataFrame({"n": [len(r) for r in rows]})]
+    batches = [r.n for r in enrichment.enrich_products(products, classify, batch_size=1).mapInPandas(taken, "n int").collect()]
+    assert batches == [100]
