@@ -52,7 +52,9 @@ def fit_centers(corpus: DataFrame, cells: int | None = None, sample: int = SAMPL
     vectors = corpus.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select(array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"))
     if wanted == 1:
         return np.zeros((1, len(vectors.first()["features"])))
-    return np.array(KMeans(k=wanted, seed=seed, maxIter=10).fit(vectors).clusterCenters())
+    # The block solver sends the driver one sum per cell and pass; the row solver also the distances of all pairs of centres.
+    dealt = vectors.repartition(corpus.sparkSession.sparkContext.defaultParallelism)
+    return np.array(KMeans(k=wanted, seed=seed, maxIter=10, solver="block").fit(dealt).clusterCenters())
 
 
 def build_index(corpus: DataFrame, cells: int | None = None, path: str | None = None) -> VectorIndex:

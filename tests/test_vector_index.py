@@ -63,3 +63,16 @@ def test_few_rows_and_none(spark, queries):
     assert {(r.vec_id, r["rank"]) for r in search(build_index(one), queries, 3, exact=True).collect()} == {(1, 1)}
     assert search(build_index(one), queries.limit(0), 3).count() == 0
     assert recall(search(build_index(empty), queries, 3), neighbors.knn(queries, empty, 3)).first().recall is None
+
+
+def test_no_distances_between_centres_reach_the_driver(spark, corpus):
+    """Fitting never runs the pass over all pairs of centres, whose result grows with the square of the cells."""
+    tracker, before = spark.sparkContext.statusTracker(), None
+    spark.sparkContext.setJobGroup("fit-centers", "fit")
+    try:
+        centers = vector_index.fit_centers(corpus, cells=450)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", before)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("fit-centers") for s in tracker.getJobInfo(j).stageIds]
+    assert len(centers) > 400 and stages
+    assert not [s.name for s in stages if s and "DistanceMeasure" in s.name]
