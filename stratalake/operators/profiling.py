@@ -124,7 +124,7 @@ def exact_percentiles(df: DataFrame, columns: list[str], shares: Sequence[float]
     cast = {c: F.col(f"`{c}`").cast("double") for c in columns}
     bounds = [F.lit(min(1.0, max(0.0, s + side * MARGIN))) for s in shares for side in (-1, 1)]
     sketches = [F.struct(F.count(c).alias("total"), F.percentile_approx(c, F.array(*bounds), 10_000).alias("at")).alias(f"k{i}") for i, c in enumerate(cast.values())]
-    summary = F.broadcast(df.agg(*sketches).select(F.struct(*[f"k{i}" for i in range(len(columns))]).alias("__summary")))
+    summary = df.agg(*sketches).select(F.struct(*[f"k{i}" for i in range(len(columns))]).alias("summary")).scalar()
     pairs, totals = [], []
     for i, c in enumerate(cast.values()):
         known = F.col("__summary")[f"k{i}"]
@@ -133,10 +133,10 @@ def exact_percentiles(df: DataFrame, columns: list[str], shares: Sequence[float]
             between = F.when(c <= known["at"][2 * j + 1], F.struct(place, c.alias("value")))
             pairs.append(F.when(c < known["at"][2 * j], F.struct(place, F.lit(None).cast("double").alias("value"))).otherwise(between))
             totals.append(F.greatest(F.lit(1), F.ceil(F.lit(shares[j]) * known["total"])))
-    long = df.crossJoin(summary).select(F.explode(F.array(*pairs)).alias("pair")).filter("pair is not null").select("pair.*")
+    long = df.withColumn("__summary", summary).select(F.explode(F.array(*pairs)).alias("pair")).filter("pair is not null").select("pair.*")
     counts = long.groupBy("place", "value").agg(F.count("*").alias("rows"))
     upto = F.sum("rows").over(Window.partitionBy("place").orderBy(F.col("value").asc_nulls_first()))
-    reached = counts.withColumn("upto", upto).crossJoin(summary).withColumn("wanted", F.element_at(F.array(*totals), F.col("place") + 1))
+    reached = counts.withColumn("upto", upto).withColumn("__summary", summary).withColumn("wanted", F.element_at(F.array(*totals), F.col("place") + 1))
     found = reached.groupBy("place").agg(
         F.min(F.when(F.col("upto") >= F.col("wanted"), F.col("value"))).alias("value"),
         F.bool_or(F.col("value").isNull() & (F.col("upto") >= F.col("wanted"))).alias("missed"),
